@@ -211,3 +211,29 @@ def rule_factors(rules: list[tuple[Column, Column]], n: int = 3,
 
 def first_n_nonnull(cols: list[Column], n: int = 3) -> Column:
     return F.slice(F.filter(F.array(*cols), lambda x: x.isNotNull()), 1, n)
+
+
+# Deterministic rounding for reports: the same IEEE operations in every engine
+# (Spark's ``round`` rounds the decimal text of a double, other engines the
+# binary value; exact halves such as 2.7284375 then differ).
+def round_half_up(col, d: int) -> Column:
+    s = float(10 ** d)
+    return F.floor(_c(col) * s + 0.5) / s
+
+
+def det_sum(col, d: int = 6) -> Column:
+    """Sum that does not depend on summation order: terms and total at d decimals."""
+    return round_half_up(F.sum(round_half_up(col, d)), d)
+
+
+def det_avg(col, d: int = 6) -> Column:
+    return F.try_divide(det_sum(col, d), F.count(_c(col)))
+
+
+def sql_r(x: str, d: int = 6) -> str:
+    """SQL text of ``round_half_up`` for oracles."""
+    return f"(floor(({x}) * 1e{d} + 0.5) / 1e{d})"
+
+
+def sql_det_avg(x: str, d: int = 6) -> str:
+    return f"({sql_r('sum(' + sql_r(x, d) + ')', d)} / count({x}))"

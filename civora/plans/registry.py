@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from civora.plans import churn
+from civora.plans import churn, interventions as iv
 
 
 @dataclass(frozen=True)
@@ -19,4 +19,17 @@ REGISTRY: dict[str, Query] = {
     "churn_features": Query(churn.churn_features_report, churn.CHURN_FEATURES_SQL,
                             "IO1 P1 J1 A1 A2 A5 A6 A11 P9 P11 P12 P30"),
     "churn_rule_tiers": Query(churn.churn_rule_tiers, churn.CHURN_RULE_TIERS_SQL, "P4 P20"),
+    "session_windows": Query(iv.q_session_windows, iv.SESSION_WINDOWS_SQL, "W2 W3 A16"),
+    "asof_followup_delta": Query(iv.q_asof_followup_delta, iv.ASOF_FOLLOWUP_SQL,
+                                 "J5 J6 A19 W2 X10"),
+    "cluster_assignment": Query(iv.q_cluster_assignment, iv.CLUSTER_ASSIGNMENT_SQL,
+                                "P17 P18 P19 F18"),
+    "cluster_recommendations": Query(iv.q_cluster_recommendations, iv.CLUSTER_RECS_SQL,
+                                     "W4 A17 P21 F18"),
+    "worker_roster": Query(iv.q_worker_roster, iv.WORKER_ROSTER_SQL, "A14"),
+    "intervention_recommendations": Query(iv.q_intervention_recommendations,
+                                          iv.INTERVENTION_RECS_SQL,
+                                          "X10 W5 J7 P22 P23 P33 F18"),
+    "session_outcome_deltas": Query(iv.q_session_outcome_deltas, iv.SESSION_OUTCOME_SQL,
+                                    "X11 J5 J6 A19"),
 }
