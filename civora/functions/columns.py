@@ -84,7 +84,7 @@ def duration_months(col) -> Column:
     m = F.regexp_extract(s, r"(\d+)\s*month", 1)
     yn = F.when(y != "", y.cast("int")).otherwise(F.lit(0))
     mn = F.when(m != "", m.cast("int")).otherwise(F.lit(0))
-    return F.when((y == "") & (m == ""), F.lit(None).cast("double")) \
+    return F.when(s.isNull() | ((y == "") & (m == "")), F.lit(None).cast("double")) \
             .otherwise((yn * 12 + mn).cast("double"))
 
 

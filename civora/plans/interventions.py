@@ -205,7 +205,7 @@ def outcome_factors(cluster, services, stype, band, worker, score, size):
     s3 = F.when(worker.isNotNull() & score.isNotNull(), F.concat(
         worker, F.lit(" has the highest average composite outcome improvement for similar "
                       "profiles at this safehouse (score: "),
-        F.format_string("%.2f", F.bround(score, 2)), F.lit(")")))
+        F.format_string("%.2f", round_half_up(score, 2)), F.lit(")")))
     arr = F.filter(F.array(s1, s2, s3), lambda x: x.isNotNull())
     fallback = F.array(F.concat(F.lit("Based on "), size.cast("string"),
                                 F.lit(" similar residents in the '"),
@@ -486,7 +486,7 @@ INTERVENTION_RECS_SQL = _RECS_SQL + f"""
         || band || ' per month outperform other formats for this profile' END,
       CASE WHEN recommended_worker IS NOT NULL AND worker_outcome_score IS NOT NULL THEN recommended_worker
         || ' has the highest average composite outcome improvement for similar profiles at this safehouse (score: '
-        || printf('%.2f', round_even(worker_outcome_score, 2)) || ')' END], lambda x: x IS NOT NULL) AS arr
+        || printf('%.2f', floor(worker_outcome_score * 100 + 0.5) / 100) || ')' END], lambda x: x IS NOT NULL) AS arr
   FROM j
 )
 SELECT case_id, profile_cluster, recommended_services, recommended_session_type,

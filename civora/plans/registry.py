@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from civora.plans import churn, interventions as iv
+from civora.plans import case_risk as cr, churn, interventions as iv
 
 
 @dataclass(frozen=True)
@@ -32,4 +32,8 @@ REGISTRY: dict[str, Query] = {
                                           "X10 W5 J7 P22 P23 P33 F18"),
     "session_outcome_deltas": Query(iv.q_session_outcome_deltas, iv.SESSION_OUTCOME_SQL,
                                     "X11 J5 J6 A19"),
+    "star_entity_features": Query(cr.q_star_entity_features, cr.STAR_FEATURES_SQL,
+                                  "J2 A3 A4 A5 A6 P2 P3 P6 P7 P9 P16 A12 X8"),
+    "site_alerts": Query(cr.q_site_alerts, cr.SITE_ALERTS_SQL, "A22"),
+    "recency_features": Query(cr.q_recency_features, cr.RECENCY_SQL, "A7 A8 A9 A10 W1"),
 }
