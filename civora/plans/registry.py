@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from civora.plans import case_risk as cr, churn, interventions as iv
+from civora.plans import attribution as at, case_risk as cr, churn, interventions as iv
 
 
 @dataclass(frozen=True)
@@ -36,4 +36,8 @@ REGISTRY: dict[str, Query] = {
                                   "J2 A3 A4 A5 A6 P2 P3 P6 P7 P9 P16 A12 X8"),
     "site_alerts": Query(cr.q_site_alerts, cr.SITE_ALERTS_SQL, "A22"),
     "recency_features": Query(cr.q_recency_features, cr.RECENCY_SQL, "A7 A8 A9 A10 W1"),
+    "lagged_panel_join": Query(at.q_lagged_panel_join, at.LAGGED_PANEL_SQL, "J4 P14 P25 P26"),
+    "area_effects": Query(at.q_area_effects, at.AREA_EFFECTS_SQL, "S1(1 regressor) S9"),
+    "impact_statements": Query(at.q_impact_statements, at.IMPACT_STATEMENTS_SQL, "J9 P32 J3 X7"),
+    "ols_effects": Query(at.ols_effects, None, "S1 S2 S3 S9 F1 F6 X7"),
 }

@@ -100,7 +100,8 @@ SITE_MONTHLY_METRICS = StandIn(
         ("site_id", "l_suppkey"),
         ("month_start", "CAST(date_trunc('month', l_shipdate) AS DATE)"),
         ("avg_education_progress", "avg(l_quantity)"),
-        ("avg_health_score", "avg(l_discount) * 100"),
+        # order-independent mean: 2-dp inputs, sum rounded to 6 dp
+        ("avg_health_score", "floor(sum(l_discount) * 1e6 + 0.5) / 1e6 / count(l_discount) * 100"),
         ("process_recording_count", "count(*)"),
         ("active_residents", "count(DISTINCT l_orderkey)"),
         ("incident_count", "CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT)"),
@@ -317,7 +318,8 @@ def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         keyed = li.withColumn("_m", F.expr("CAST(date_trunc('month', l_shipdate) AS DATE)"))
         return (keyed.groupBy(F.col("l_suppkey").alias("site_id"), F.col("_m").alias("month_start"))
                 .agg(F.avg("l_quantity").alias("avg_education_progress"),
-                     (F.avg("l_discount") * 100).alias("avg_health_score"),
+                     (F.floor(F.sum("l_discount") * 1e6 + 0.5) / 1e6 / F.count("l_discount") * 100)
+                     .alias("avg_health_score"),
                      F.count(F.lit(1)).alias("process_recording_count"),
                      F.count_distinct("l_orderkey").alias("active_residents"),
                      F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0))
