@@ -160,6 +160,9 @@ def ols_effects(spark: SparkSession, sf_dir: str, p_threshold: float = 0.05,
     levels = fit_rare_levels(df, "program_area", rare_cutoff)
     df = apply_rare_levels(df, "program_area", levels)
     df, dummies = dummy_columns(df, "program_area", drop_first=True)
+    from civora.operators.joins import materialize
+    df = materialize(df.select("site_id", "log_amount", *dummies,
+                               *[f"{a}_pct_change_{w}" for a in OUTCOMES.values() for w in WINDOWS]))
     rows = []
     for o, a in OUTCOMES.items():
         for w, wm in WINDOWS.items():

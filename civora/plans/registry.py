@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from civora.plans import attribution as at, case_risk as cr, churn, interventions as iv
+from civora.plans import attribution as at, case_risk as cr, churn, content as ct, interventions as iv
 
 
 @dataclass(frozen=True)
@@ -40,4 +40,9 @@ REGISTRY: dict[str, Query] = {
     "area_effects": Query(at.q_area_effects, at.AREA_EFFECTS_SQL, "S1(1 regressor) S9"),
     "impact_statements": Query(at.q_impact_statements, at.IMPACT_STATEMENTS_SQL, "J9 P32 J3 X7"),
     "ols_effects": Query(at.ols_effects, None, "S1 S2 S3 S9 F1 F6 X7"),
+    "best_content_combo": Query(ct.q_best_content_combo, ct.BEST_COMBO_SQL,
+                                "F19 A14 A15 A17 W6 J10 P23 P24 P30 P31 P36"),
+    "conversion_noise_signal": Query(ct.q_conversion_noise_signal, ct.CONVERSION_SIGNAL_SQL,
+                                     "P27 A21"),
+    "platform_baseline": Query(ct.q_platform_baseline, ct.PLATFORM_BASELINE_SQL, "A20 A25 A15"),
 }
