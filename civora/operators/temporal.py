@@ -252,3 +252,24 @@ def anchor_followup(anchors: DataFrame, daily: DataFrame, key: str, anchor: str,
                                                     F.date_add(F.col(anchor), days)))))
     j = exp.join(daily.select(key, "_day", *sum_cols), [key, "_day"], "left")
     return j.groupBy(key, anchor).agg(*[F.sum(c).alias(f"{c}_fu") for c in sum_cols])
+
+
+def bucketed_prefix_sum(df: DataFrame, keys: list[str], bucket: str, order: list,
+                        values: list[str], suffix: str = "_cum") -> DataFrame:
+    """Exact running sums of ``values`` ordered by (bucket, order...), per keys.
+
+    Same bucket decomposition as ``bucketed_row_number``: per-bucket totals are
+    prefix-summed over buckets (bounded table), rows are summed inside their
+    bucket, the two are added. Used for ROC curves, AUC ranks and splits.
+    """
+    tot = df.groupBy(*keys, bucket).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    wk = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))) \
+        .orderBy(bucket).rowsBetween(UNB, -1)
+    off = tot.select(*keys, bucket, *[F.coalesce(F.sum(f"_t_{v}").over(wk), F.lit(0))
+                                      .alias(f"_o_{v}") for v in values])
+    wi = Window.partitionBy(*keys, bucket).orderBy(*_cols(order)).rowsBetween(UNB, 0)
+    inner = df.select("*", *[F.sum(v).over(wi).alias(f"_i_{v}") for v in values])
+    out = inner.join(off, [*keys, bucket])
+    for v in values:
+        out = out.withColumn(f"{v}{suffix}", F.col(f"_o_{v}") + F.col(f"_i_{v}"))
+    return out.drop(*[f"_o_{v}" for v in values], *[f"_i_{v}" for v in values])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
+from civora.plans import evaluation as evq
 from civora.plans import attribution as at, case_risk as cr, churn, content as ct, interventions as iv
 
 
@@ -45,4 +46,13 @@ REGISTRY: dict[str, Query] = {
     "conversion_noise_signal": Query(ct.q_conversion_noise_signal, ct.CONVERSION_SIGNAL_SQL,
                                      "P27 A21"),
     "platform_baseline": Query(ct.q_platform_baseline, ct.PLATFORM_BASELINE_SQL, "A20 A25 A15"),
+    "stratified_split": Query(evq.q_stratified_split, evq.STRATIFIED_SPLIT_SQL, "M1 M2 M3"),
+    "balanced_class_weights": Query(evq.q_balanced_class_weights, evq.BALANCED_WEIGHTS_SQL, "M4"),
+    "auc_rank_sum": Query(evq.q_auc_rank_sum, evq.AUC_SQL, "M19 W10"),
+    "roc_points": Query(evq.q_roc_points, evq.ROC_SQL, "M22"),
+    "classification_report": Query(evq.q_classification_report, evq.CLASSIFICATION_REPORT_SQL,
+                                   "M21"),
+    "confusion_matrix": Query(evq.q_confusion_matrix, evq.CONFUSION_SQL, "M20"),
+    "regression_metrics": Query(evq.q_regression_metrics, evq.REGRESSION_METRICS_SQL, "M23"),
+    "time_split": Query(evq.q_time_split, evq.TIME_SPLIT_SQL, "W9"),
 }
