@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from civora.plans import evaluation as evq
+from civora.plans import evaluation as evq, profiling as pf
 from civora.plans import attribution as at, case_risk as cr, churn, content as ct, interventions as iv
 
 
@@ -55,4 +55,9 @@ REGISTRY: dict[str, Query] = {
     "confusion_matrix": Query(evq.q_confusion_matrix, evq.CONFUSION_SQL, "M20"),
     "regression_metrics": Query(evq.q_regression_metrics, evq.REGRESSION_METRICS_SQL, "M23"),
     "time_split": Query(evq.q_time_split, evq.TIME_SPLIT_SQL, "W9"),
+    "univariate_profile": Query(pf.q_univariate_profile, pf.UNIVARIATE_SQL, "A26"),
+    "rare_collapse": Query(pf.q_rare_collapse, pf.RARE_COLLAPSE_SQL, "F1"),
+    "value_counts": Query(pf.q_value_counts, pf.VALUE_COUNTS_SQL, "A18"),
+    "group_describe": Query(pf.q_group_describe, pf.GROUP_DESCRIBE_SQL, "A13 A27"),
+    "bivariate_tests": Query(pf.q_bivariate_tests, pf.BIVARIATE_SQL, "S11 S14 S16 S17"),
 }
