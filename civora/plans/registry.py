@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from civora.plans import evaluation as evq, profiling as pf
+from civora.plans import evaluation as evq, io_queries as ioq, models as ml, profiling as pf
+from civora.streaming import rescore as st
 from civora.plans import attribution as at, case_risk as cr, churn, content as ct, interventions as iv
 
 
@@ -60,4 +61,10 @@ REGISTRY: dict[str, Query] = {
     "value_counts": Query(pf.q_value_counts, pf.VALUE_COUNTS_SQL, "A18"),
     "group_describe": Query(pf.q_group_describe, pf.GROUP_DESCRIBE_SQL, "A13 A27"),
     "bivariate_tests": Query(pf.q_bivariate_tests, pf.BIVARIATE_SQL, "S11 S14 S16 S17"),
+    "score_upsert": Query(ioq.q_score_upsert, ioq.SCORE_UPSERT_SQL, "IO4 X14"),
+    "unscored_append": Query(ioq.q_unscored_append, ioq.UNSCORED_SQL, "IO7 J8"),
+    "csv_roundtrip": Query(ioq.q_csv_roundtrip, ioq.CSV_ROUNDTRIP_SQL, "IO2 IO3"),
+    "trailing_incident_counts": Query(st.q_trailing_incident_counts, st.ST2_SQL, "ST2 A3"),
+    "churn_model_scores": Query(ml.q_churn_model_scores, None,
+                                "X6 M1 M4 M5 M13 M19 M24 M26 M27 F1 F2 F4 F5 F7 P20 P34"),
 }
