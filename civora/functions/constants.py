@@ -100,3 +100,27 @@ RARE_CUTOFF = 0.05
 OTHER = "Other"
 SITE_ALERT_RATE = 0.30
 STATEMENT_COVERAGE_MIN = 0.60
+
+# --- Fixed values: row-specific churn explanation rules (notebook form) --------
+ROW_FACTOR_TEXT = {
+    "recency_frequency_ratio": "Recency/frequency ratio is elevated",
+    "frequency": "Only made 1–2 donations (low loyalty)",
+    "ever_recurring": "Not a recurring donor",
+    "overdue_flag": "Silent longer than their historical average gap",
+}
+ROW_FACTOR_RECENCY_DAYS = 60
+ROW_FACTOR_RATIO = 30
+ROW_FACTOR_FALLBACK = "Insufficient history for detailed explanation"
+
+# --- Fixed values: row-specific case concern rules (notebook form) -------------
+ROW_CONCERN_TEXT = {
+    "high_sev_last_30d": "High-severity incident filed in the last 30 days",
+    "incidents_last_30d": "Multiple recent incidents (last 30 days)",
+    "health_30d_change": "Declining health score over the past month",
+    "health_trend_slope": "Negative trend in health scores over time",
+    "days_since_session": "Extended gap since last social worker session",
+    "edu_trend_slope": "Declining education progress trend",
+    "plans_on_hold": "Intervention plans on hold",
+    "unresolved_incidents": "Unresolved incidents on record",
+}
+ROW_CONCERN_SESSION_GAP = 14

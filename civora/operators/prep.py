@@ -153,7 +153,9 @@ def fit_outlier_bounds(df: DataFrame, cols: list[str], skew_limit: float = 1.0)
     for c in cols:
         aggs += [F.percentile(c, 0.25).alias(f"{c}__q1"), F.percentile(c, 0.75).alias(f"{c}__q3"),
                  F.avg(c).alias(f"{c}__mu"), F.stddev_samp(c).alias(f"{c}__sd"),
-                 F.skewness(c).alias(f"{c}__sk")]
+                 # sample-adjusted skewness (pandas convention)
+                 (F.skewness(c) * F.sqrt(F.count(c) * (F.count(c) - 1)) / (F.count(c) - 2))
+                 .alias(f"{c}__sk")]
     wide = df.agg(*aggs)
     stack = ", ".join(f"'{c}', `{c}__q1`, `{c}__q3`, `{c}__mu`, `{c}__sd`, `{c}__sk`" for c in cols)
     long = wide.select(F.expr(f"stack({len(cols)}, {stack}) AS (column, q1, q3, mu, sd, skew)"))

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from typing import Callable
 
 from civora.plans import evaluation as evq, io_queries as ioq, models as ml, profiling as pf
+from civora.plans import reports as rp
 from civora.streaming import rescore as st
 from civora.plans import attribution as at, case_risk as cr, churn, content as ct, interventions as iv
 
@@ -67,4 +68,18 @@ REGISTRY: dict[str, Query] = {
     "trailing_incident_counts": Query(st.q_trailing_incident_counts, st.ST2_SQL, "ST2 A3"),
     "churn_model_scores": Query(ml.q_churn_model_scores, None,
                                 "X6 M1 M4 M5 M13 M19 M24 M26 M27 F1 F2 F4 F5 F7 P20 P34"),
+    "impute_scale": Query(rp.q_impute_scale, rp.IMPUTE_SCALE_SQL, "F2 F3 F4"),
+    "basic_wrangling": Query(rp.q_basic_wrangling, rp.BASIC_WRANGLING_SQL, "F8"),
+    "skew_candidates": Query(rp.q_skew_candidates, rp.SKEW_SQL, "F9"),
+    "outlier_bounds": Query(rp.q_outlier_bounds, rp.OUTLIER_SQL, "F14"),
+    "variance_threshold": Query(rp.q_variance_threshold, rp.VARIANCE_SQL, "F16"),
+    "missingness_test": Query(rp.q_missingness_test, rp.MISSINGNESS_SQL, "F11 F12"),
+    "date_parts": Query(rp.q_date_parts, rp.DATE_PARTS_SQL, "P13"),
+    "churn_row_factors": Query(rp.q_churn_row_factors, rp.CHURN_ROW_FACTORS_SQL, "P28 P38"),
+    "centered_square": Query(rp.q_centered_square, rp.CENTERED_SQL, "P29"),
+    "spearman_corr": Query(rp.q_spearman_corr, rp.SPEARMAN_SQL, "W10 S12"),
+    "durbin_watson": Query(rp.q_durbin_watson, rp.DURBIN_WATSON_SQL, "W11 S4"),
+    "rolling_health": Query(rp.q_rolling_health, rp.ROLLING_SQL, "W12"),
+    "pairwise_ttests": Query(rp.q_pairwise_ttests, rp.PAIRWISE_SQL, "S15"),
+    "effect_direction": Query(rp.q_effect_direction, rp.EFFECT_DIRECTION_SQL, "S19"),
 }
