@@ -123,14 +123,19 @@ def one_hot_wide(df: DataFrame, col: str, levels: list[str]) -> DataFrame:
 # F8: drop near-empty, id-like and constant columns ------------------------------------
 
 def basic_wrangling_report(df: DataFrame, cols: list[str], max_null: float = 0.95) -> DataFrame:
-    """One aggregation: null share, distinct count per column -> drop decision."""
-    n = F.count(F.lit(1))
-    aggs = [n.alias("_n")]
-    for c in cols:
-        aggs += [F.count(c).alias(f"{c}__nn"), F.count_distinct(c).alias(f"{c}__nd")]
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', CAST(`{c}__nn` AS BIGINT), CAST(`{c}__nd` AS BIGINT)" for c in cols)
-    long = wide.select("_n", F.expr(f"stack({len(cols)}, {stack}) AS (column, non_null, n_distinct)"))
+    """Null share and distinct count per column -> drop decision.
+
+    Non-null counts come from one aggregation; distinct counts from the stacked
+    (column, value) pairs de-duplicated map-side (no COUNT(DISTINCT) Expand).
+    """
+    wide = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(f"{c}__nn") for c in cols])
+    stack = ", ".join(f"'{c}', CAST(`{c}__nn` AS BIGINT)" for c in cols)
+    long = wide.select("_n", F.expr(f"stack({len(cols)}, {stack}) AS (column, non_null)"))
+    pairs = ", ".join(f"'{c}', CAST({c} AS STRING)" for c in cols)
+    nd = (df.select(F.expr(f"stack({len(cols)}, {pairs}) AS (column, v)"))
+            .where(F.col("v").isNotNull()).distinct()
+            .groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct")))
+    long = long.join(nd, "column", "left").fillna(0, ["n_distinct"])
     null_share = 1 - F.col("non_null") / F.col("_n")
     return (long.withColumn("null_share", null_share)
                 .withColumn("drop_reason",
