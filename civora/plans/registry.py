@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from typing import Callable
 
 from civora.plans import evaluation as evq, io_queries as ioq, models as ml, profiling as pf
-from civora.plans import reports as rp
+from civora.plans import monitoring as mon, reports as rp
 from civora.streaming import rescore as st
 from civora.plans import attribution as at, case_risk as cr, churn, content as ct, interventions as iv
 
@@ -82,4 +82,13 @@ REGISTRY: dict[str, Query] = {
     "rolling_health": Query(rp.q_rolling_health, rp.ROLLING_SQL, "W12"),
     "pairwise_ttests": Query(rp.q_pairwise_ttests, rp.PAIRWISE_SQL, "S15"),
     "effect_direction": Query(rp.q_effect_direction, rp.EFFECT_DIRECTION_SQL, "S19"),
+    "label_drift": Query(mon.q_label_drift, mon.LABEL_DRIFT_SQL, "X1 A28"),
+    "score_psi": Query(mon.q_score_psi, mon.SCORE_PSI_SQL, "X2"),
+    "high_risk_top10": Query(mon.q_high_risk_top10, mon.HIGH_RISK_SQL, "X4 W8"),
+    "conversion_consistency": Query(mon.q_conversion_consistency, mon.CONVERSION_CONSISTENCY_SQL, "X5"),
+    "kendall_tau": Query(mon.q_kendall_tau, mon.KENDALL_SQL, "S13"),
+    "select_k_best": Query(mon.q_select_k_best, mon.KBEST_SQL, "M29 S14"),
+    "cluster_stability": Query(mon.q_cluster_stability, mon.CLUSTER_STABILITY_SQL, "M33"),
+    "input_validation": Query(mon.q_input_validation, mon.INPUT_VALIDATION_SQL, "IO10 J8"),
+    "dashboard_high_risk": Query(mon.q_dashboard_high_risk, mon.DASHBOARD_SQL, "X14 IO4"),
 }
