@@ -91,4 +91,8 @@ REGISTRY: dict[str, Query] = {
     "cluster_stability": Query(mon.q_cluster_stability, mon.CLUSTER_STABILITY_SQL, "M33"),
     "input_validation": Query(mon.q_input_validation, mon.INPUT_VALIDATION_SQL, "IO10 J8"),
     "dashboard_high_risk": Query(mon.q_dashboard_high_risk, mon.DASHBOARD_SQL, "X14 IO4"),
+    "case_model_scores": Query(ml.q_case_model_scores, None,
+                               "X8 X9 M3 M5 M13 M15 M17 M18 M26 M27 P20 P34"),
+    "content_model_recommendations": Query(ml.q_content_model_recommendations, None,
+                                           "X12 W9 M9 M10 M14 W6 P24"),
 }
