@@ -16,7 +16,7 @@ OLD_AS_OF = "DATE '2001-01-01'"
 
 
 def _rule_scores(spark, sf_dir, as_of):
-    df = churn_features(spark, sf_dir, as_of=as_of, training=False)
+    df = churn_features(spark, sf_dir, as_of=as_of, training=False, point_in_time=True)
     s = round_half_up(F.least(F.lit(1.0), F.col("recency_days") / (F.col("avg_gap_days") * 4 + 1)), 6)
     return df.select("supporter_id", s.alias("rule_score"), tier(s).alias("risk_tier"),
                      F.lit(as_of).alias("scored_as_of"))
@@ -36,8 +36,8 @@ def _rule_sql(as_of):
       {sql_r(f"least(1.0, date_diff('day', a.last_d, {as_of}) / (greatest(date_diff('day', a.first_d, a.last_d), 0) / greatest(a.frequency - 1, 1) * 4 + 1))")} AS rule_score,
       '{as_of.replace("'", "''")}' AS scored_as_of
     FROM (SELECT supporter_id, count(donation_id) AS frequency, max(donation_date) AS last_d,
-                 min(donation_date) AS first_d FROM donations GROUP BY supporter_id
-          HAVING count(donation_id) >= 2) a
+                 min(donation_date) AS first_d FROM donations WHERE donation_date < {as_of}
+          GROUP BY supporter_id HAVING count(donation_id) >= 2) a
     JOIN supporters s ON a.supporter_id = s.supporter_id WHERE s.status = 'Active'"""
 
 

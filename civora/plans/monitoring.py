@@ -24,8 +24,10 @@ PSI_BINS = 10
 
 # Label-rate drift (>10 points) ---------------------------------------------------
 def q_label_drift(spark, sf_dir, max_shift: float = 0.10):
-    old = churn_features(spark, sf_dir, as_of=OLD_AS_OF).agg(F.avg("churned").alias("base_rate"))
-    new = churn_features(spark, sf_dir, as_of=NEW_AS_OF).agg(F.avg("churned").alias("rate"))
+    old = churn_features(spark, sf_dir, as_of=OLD_AS_OF, point_in_time=True) \
+        .agg(F.avg("churned").alias("base_rate"))
+    new = churn_features(spark, sf_dir, as_of=NEW_AS_OF, point_in_time=True) \
+        .agg(F.avg("churned").alias("rate"))
     j = old.crossJoin(new)      # one row each
     return j.select(round_half_up("base_rate", 9).alias("base_rate"), round_half_up("rate", 9).alias("rate"),
                     (F.abs(F.col("rate") - F.col("base_rate")) > max_shift).alias("drift_alert"))
@@ -36,7 +38,8 @@ def _churn_label_sql(as_of):
                         OR (ever_recurring = 0 AND date_diff('day', last_d, {as_of}) > 90) THEN 1 ELSE 0 END) AS r
     FROM (SELECT d.supporter_id, max(donation_date) AS last_d,
                  max(CASE WHEN is_recurring THEN 1 ELSE 0 END) AS ever_recurring
-          FROM donations d GROUP BY d.supporter_id HAVING count(donation_id) >= 2) a
+          FROM donations d WHERE donation_date < {as_of}
+          GROUP BY d.supporter_id HAVING count(donation_id) >= 2) a
     JOIN supporters s ON a.supporter_id = s.supporter_id WHERE s.status IN ('Active', 'Inactive')"""
 
 
