@@ -217,3 +217,85 @@ def skew_candidates(df: DataFrame, col: str) -> DataFrame:
     long = wide.select(F.expr(f"stack({len(forms)}, {stack}) AS (method, n, g1)"))
     adj = F.col("g1") * F.sqrt(F.col("n") * (F.col("n") - 1)) / (F.col("n") - 2)
     return long.withColumn("skew", adj).drop("g1")
+
+
+# Yeo-Johnson lambda by profile log-likelihood over a grid (one aggregation) --------------
+
+def _yj(x: Column, lam: float) -> Column:
+    pos = x >= 0
+    if abs(lam) < 1e-12:
+        a = F.log1p(x)
+    else:
+        a = (F.pow(x + 1, F.lit(lam)) - 1) / lam
+    if abs(lam - 2) < 1e-12:
+        b = -F.log1p(-x)
+    else:
+        b = -(F.pow(1 - x, F.lit(2 - lam)) - 1) / (2 - lam)
+    return F.when(pos, a).otherwise(b)
+
+
+def yeo_johnson_lambda(df: DataFrame, col: str, grid=None) -> tuple[float, DataFrame]:
+    """Pick lambda maximising the Yeo-Johnson log-likelihood.
+
+    For every grid value the transformed mean / variance and the Jacobian term
+    sum(sign(x) log(|x| + 1)) are computed in ONE aggregation over the data
+    (the grid is small and fixed), then the best lambda is refined once on a
+    finer grid around it.
+    """
+    grid = list(grid) if grid is not None else [i / 4 for i in range(-8, 9)]
+
+    def table(lams):
+        x = F.col(col).cast("double")
+        aggs = [F.count(x).alias("n"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("jac")]
+        for i, lam in enumerate(lams):
+            aggs.append(F.var_pop(_yj(x, lam)).alias(f"v{i}"))
+        row = df.agg(*aggs).first()
+        import math
+        out = []
+        for i, lam in enumerate(lams):
+            v = row[f"v{i}"]
+            ll = (-row["n"] / 2 * math.log(v) + (lam - 1) * row["jac"]) if v and v > 0 else float("-inf")
+            out.append((float(lam), float(ll)))
+        return out
+
+    coarse = table(grid)
+    best = max(coarse, key=lambda t: t[1])[0]
+    step = (grid[1] - grid[0]) if len(grid) > 1 else 0.25
+    fine = table([best + step * (k / 10) for k in range(-10, 11)])
+    lam = max(fine, key=lambda t: t[1])[0]
+    spark = df.sparkSession
+    return lam, spark.createDataFrame(coarse + fine, "lambda double, loglik double")
+
+
+def apply_yeo_johnson(df: DataFrame, col: str, lam: float, out: str | None = None) -> DataFrame:
+    return df.withColumn(out or f"{col}_skewfix", _yj(F.col(col).cast("double"), lam))
+
+
+# iterative imputation (chained linear regressions, checkpointed rounds) ----------------------
+
+def iterative_impute(df: DataFrame, cols: list[str], rounds: int = 3) -> DataFrame:
+    """Each round regresses every incomplete column on the others (MLlib
+    LinearRegression, distributed) and refills its missing cells; the frame is
+    checkpointed between rounds to cut the growing lineage."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from civora.operators.joins import materialize
+    miss = {c: F.col(c).isNull() for c in cols}
+    med = fit_numeric_stats(df, cols)
+    cur = df
+    for c in cols:
+        cur = cur.withColumn(f"_{c}_missing", miss[c]).withColumn(
+            c, F.coalesce(F.col(c).cast("double"), F.lit(med[c]["median"])))
+    cur = materialize(cur)
+    for _ in range(rounds):
+        for c in cols:
+            others = [o for o in cols if o != c]
+            va = VectorAssembler(inputCols=others, outputCol="_x", handleInvalid="keep")
+            train = va.transform(cur.where(~F.col(f"_{c}_missing")))
+            model = LinearRegression(featuresCol="_x", labelCol=c, predictionCol="_pred").fit(train)
+            pred = model.transform(va.transform(cur))
+            cur = pred.withColumn(c, F.when(F.col(f"_{c}_missing"), F.col("_pred")).otherwise(F.col(c))) \
+                      .drop("_x", "_pred")
+        cur = materialize(cur)
+    return cur.drop(*[f"_{c}_missing" for c in cols])

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from typing import Callable
 
 from civora.plans import evaluation as evq, io_queries as ioq, models as ml, profiling as pf
-from civora.plans import monitoring as mon, reports as rp
+from civora.plans import extras as ex, monitoring as mon, reports as rp
 from civora.streaming import rescore as st
 from civora.plans import attribution as at, case_risk as cr, churn, content as ct, interventions as iv
 
@@ -20,11 +20,11 @@ class Query:
 
 REGISTRY: dict[str, Query] = {
     "churn_features": Query(churn.churn_features_report, churn.CHURN_FEATURES_SQL,
-                            "IO1 P1 J1 A1 A2 A5 A6 A11 P9 P11 P12 P30"),
+                            "IO1 P1 J1 A1 A2 A5 A6 A11 P9 P11 P12 P30 P15 P35"),
     "churn_rule_tiers": Query(churn.churn_rule_tiers, churn.CHURN_RULE_TIERS_SQL, "P4 P20"),
     "session_windows": Query(iv.q_session_windows, iv.SESSION_WINDOWS_SQL, "W2 W3 A16"),
     "asof_followup_delta": Query(iv.q_asof_followup_delta, iv.ASOF_FOLLOWUP_SQL,
-                                 "J5 J6 A19 W2 X10"),
+                                 "J5 J6 A19 W2 X10 SO1"),
     "cluster_assignment": Query(iv.q_cluster_assignment, iv.CLUSTER_ASSIGNMENT_SQL,
                                 "P17 P18 P19 F18"),
     "cluster_recommendations": Query(iv.q_cluster_recommendations, iv.CLUSTER_RECS_SQL,
@@ -36,7 +36,7 @@ REGISTRY: dict[str, Query] = {
     "session_outcome_deltas": Query(iv.q_session_outcome_deltas, iv.SESSION_OUTCOME_SQL,
                                     "X11 J5 J6 A19"),
     "star_entity_features": Query(cr.q_star_entity_features, cr.STAR_FEATURES_SQL,
-                                  "J2 A3 A4 A5 A6 P2 P3 P6 P7 P9 P16 A12 X8"),
+                                  "J2 A3 A4 A5 A6 P2 P3 P6 P7 P8 P9 P10 P16 A12 X8"),
     "site_alerts": Query(cr.q_site_alerts, cr.SITE_ALERTS_SQL, "A22"),
     "recency_features": Query(cr.q_recency_features, cr.RECENCY_SQL, "A7 A8 A9 A10 W1"),
     "lagged_panel_join": Query(at.q_lagged_panel_join, at.LAGGED_PANEL_SQL, "J4 P14 P25 P26"),
@@ -84,7 +84,7 @@ REGISTRY: dict[str, Query] = {
     "effect_direction": Query(rp.q_effect_direction, rp.EFFECT_DIRECTION_SQL, "S19"),
     "label_drift": Query(mon.q_label_drift, mon.LABEL_DRIFT_SQL, "X1 A28"),
     "score_psi": Query(mon.q_score_psi, mon.SCORE_PSI_SQL, "X2"),
-    "high_risk_top10": Query(mon.q_high_risk_top10, mon.HIGH_RISK_SQL, "X4 W8"),
+    "high_risk_top10": Query(mon.q_high_risk_top10, mon.HIGH_RISK_SQL, "X4 W8 W7"),
     "conversion_consistency": Query(mon.q_conversion_consistency, mon.CONVERSION_CONSISTENCY_SQL, "X5"),
     "kendall_tau": Query(mon.q_kendall_tau, mon.KENDALL_SQL, "S13"),
     "select_k_best": Query(mon.q_select_k_best, mon.KBEST_SQL, "M29 S14"),
@@ -95,4 +95,11 @@ REGISTRY: dict[str, Query] = {
                                "X8 X9 M3 M5 M13 M15 M17 M18 M26 M27 P20 P34"),
     "content_model_recommendations": Query(ml.q_content_model_recommendations, None,
                                            "X12 W9 M9 M10 M14 W6 P24"),
+    "statement_coverage": Query(ex.q_statement_coverage, ex.STATEMENT_COVERAGE_SQL, "A23"),
+    "recommendation_lift": Query(ex.q_recommendation_lift, ex.RECOMMENDATION_LIFT_SQL, "A24"),
+    "case_row_concerns": Query(ex.q_case_row_concerns, ex.CASE_ROW_CONCERNS_SQL, "P39 P5"),
+    "versioned_statements": Query(ex.q_versioned_statements, ex.VERSIONED_STATEMENTS_SQL, "IO5 IO6"),
+    "ols_diagnostics": Query(ex.q_ols_diagnostics, None, "S4 S5 S6 S7 S8 S10 S18 S2 S3"),
+    "model_gap_flags": Query(ex.q_model_gap_flags, None, "X3 M19"),
+    "kmeans_profiles": Query(ex.q_kmeans_profiles, None, "M32"),
 }

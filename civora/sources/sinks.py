@@ -95,3 +95,8 @@ def validation_report(df: DataFrame, num_cols: list[str], cat_col: str | None =
         unseen = df.join(known_levels, cat_col, "left_anti").agg(F.count(F.lit(1)).alias("unseen_rows"))
         out = out.crossJoin(unseen)
     return out
+
+
+# IO6: full refresh (replace the whole output)
+def full_refresh(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
