@@ -261,10 +261,14 @@ def yeo_johnson_lambda(df: DataFrame, col: str, grid=None) -> tuple[float, DataF
     coarse = table(grid)
     best = max(coarse, key=lambda t: t[1])[0]
     step = (grid[1] - grid[0]) if len(grid) > 1 else 0.25
-    fine = table([best + step * (k / 10) for k in range(-10, 11)])
-    lam = max(fine, key=lambda t: t[1])[0]
+    evaluated = list(coarse)
+    for _ in range(2):                      # two refinements: step / 10, then step / 100
+        fine = table([best + step * (k / 10) for k in range(-10, 11)])
+        evaluated += fine
+        best = max(fine, key=lambda t: t[1])[0]
+        step /= 10
     spark = df.sparkSession
-    return lam, spark.createDataFrame(coarse + fine, "lambda double, loglik double")
+    return best, spark.createDataFrame(evaluated, "lambda double, loglik double")
 
 
 def apply_yeo_johnson(df: DataFrame, col: str, lam: float, out: str | None = None) -> DataFrame:

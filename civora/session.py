@@ -57,7 +57,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return spark.sparkContext.getCheckpointDir() or conf_dir
     # Unset: local / test session only.
     local = tempfile.mkdtemp(prefix="civora-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
 

@@ -37,14 +37,22 @@ def test_ols_planted_effect_and_fixed_effects(spark):
     assert p["x1"] < 1e-10
 
 
-def test_kendall_tau_b_matches_pandas(spark):
+def test_kendall_tau_b_matches_brute_force(spark):
     from civora.plans.monitoring import kendall_tau_b
     rng = np.random.default_rng(1)
     a = rng.integers(0, 5, 300)
     b = (a + rng.integers(0, 4, 300)) % 7
     pdf = pd.DataFrame({"a": a, "b": b})
     got = kendall_tau_b(spark.createDataFrame(pdf), "a", "b").first()["tau_b"]
-    assert abs(got - pdf["a"].corr(pdf["b"], method="kendall")) < 1e-12
+    da = np.sign(a[:, None] - a[None, :])
+    db = np.sign(b[:, None] - b[None, :])
+    iu = np.triu_indices(len(a), 1)
+    s = (da * db)[iu].sum()
+    n0 = len(iu[0])
+    ta = (da[iu] == 0).sum()
+    tb = (db[iu] == 0).sum()
+    ref = s / math.sqrt((n0 - ta) * (n0 - tb))
+    assert abs(got - ref) < 1e-12
 
 
 def test_spearman_average_ranks_match_pandas(spark):
@@ -53,7 +61,8 @@ def test_spearman_average_ranks_match_pandas(spark):
     pdf = pd.DataFrame({"a": rng.integers(0, 20, 500).astype(float), "b": rng.normal(size=500)})
     r = average_ranks(average_ranks(spark.createDataFrame(pdf), "a", "ra"), "b", "rb")
     got = r.agg(F.corr("ra", "rb")).first()[0]
-    assert abs(got - pdf["a"].corr(pdf["b"], method="spearman")) < 1e-12
+    ref = np.corrcoef(pdf["a"].rank(method="average"), pdf["b"].rank(method="average"))[0, 1]
+    assert abs(got - ref) < 1e-12
 
 
 def test_yeo_johnson_picks_likelihood_maximum(spark):
@@ -65,8 +74,9 @@ def test_yeo_johnson_picks_likelihood_maximum(spark):
     def ll(l):
         t = ((x + 1) ** l - 1) / l if abs(l) > 1e-12 else np.log1p(x)
         return -len(x) / 2 * math.log(t.var()) + (l - 1) * np.sum(np.log1p(x))
-    grid = np.linspace(lam - 0.2, lam + 0.2, 41)
-    assert ll(lam) >= max(ll(g) for g in grid) - 1e-6 * abs(ll(lam))
+    grid = np.linspace(-2, 2, 4001)
+    best = grid[int(np.argmax([ll(g) for g in grid]))]
+    assert abs(lam - best) < 0.005
 
 
 def test_iterative_impute_fills_all(spark):
@@ -112,9 +122,7 @@ def test_incremental_rescore_equals_batch(spark):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
     # three arrival batches, shuffled order of keys
     for i, keys in enumerate([[3, 1], [5], [1, 6, 0]]):
-        spark.createDataFrame([(k, 0.0) for k in keys], schema).write.parquet(f"{src}/b{i}")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="civora-st1-ck-"))
-    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+        spark.createDataFrame([(k, 0.0) for k in keys], schema).coalesce(1).write.mode("append").parquet(src)
     q = incremental_rescore(spark, stream, history, feature_fn, lambda f: f, table="st1_test")
     q.processAllAvailable()
     q.stop()
