@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civora.operators.joins import with_scalars
 from civora.operators.temporal import bucketed_prefix_sum, bucketed_row_number
 
 HASH_BUCKET_BITS = 16
@@ -60,7 +61,7 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """Class weight n / (n_classes * n_c) per label value (one small table)."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
     tot = c.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"))
-    return c.crossJoin(tot).withColumn("weight", F.col("n") / (F.col("k") * F.col("n_c")))
+    return with_scalars(c, tot).withColumn("weight", F.col("n") / (F.col("k") * F.col("n_c")))
 
 
 def score_counts(df: DataFrame, label: str, score: str, buckets: int = 4096) -> DataFrame:
@@ -71,7 +72,7 @@ def score_counts(df: DataFrame, label: str, score: str, buckets: int = 4096) ->
     b = F.least(F.floor((F.col("score") - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"),
                                                                       F.lit(1e-300)) * buckets),
                 F.lit(buckets - 1)).cast("int")
-    return c.crossJoin(mm).withColumn("_b", b).drop("_lo", "_hi")
+    return with_scalars(c, mm).withColumn("_b", b).drop("_lo", "_hi")
 
 
 # Exact ROC-AUC with ties (Mann-Whitney)
@@ -90,7 +91,7 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     c = score_counts(df, label, score).withColumn("_b", -F.col("_b"))
     cum = bucketed_prefix_sum(c, [], "_b", [F.col("score").desc()], ["n_pos", "n_neg"])
     tot = c.agg(F.sum("n_pos").alias("P"), F.sum("n_neg").alias("N"))
-    j = cum.crossJoin(tot)
+    j = with_scalars(cum, tot)
     return j.select(F.col("score").alias("threshold"),
                     F.try_divide(F.col("n_pos_cum"), F.col("P")).alias("tpr"),
                     F.try_divide(F.col("n_neg_cum"), F.col("N")).alias("fpr"),
@@ -109,8 +110,7 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     classes = df.select(F.col(label).alias("cls")).union(df.select(F.col(pred).alias("cls"))).distinct()
     agg = df.agg(F.count(F.lit(1)).alias("_n"),
                  F.count_if(F.col(label) == F.col(pred)).alias("_ok"))
-    per = classes.crossJoin(agg)   # classes: a handful of labels
-    stats = df.groupBy().agg(F.lit(1).alias("_one"))
+    per = with_scalars(classes, agg)
     tp = df.groupBy(F.col(label).alias("cls")).agg(
         F.count_if(F.col(label) == F.col(pred)).alias("tp"), F.count(F.lit(1)).alias("support"))
     pp = df.groupBy(F.col(pred).alias("cls")).agg(F.count(F.lit(1)).alias("pred_n"))
@@ -118,7 +118,6 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("pred_n")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2 * prec * rec, prec + rec), F.lit(0.0))
-    del stats
     return r.select("cls", prec.alias("precision"), rec.alias("recall"), f1.alias("f1"),
                     "support", (F.col("_ok") / F.col("_n")).alias("accuracy"))
 
@@ -141,7 +140,7 @@ def time_split(df: DataFrame, ts: str, tiebreak: list[str], frac: float = 0.8,
     x = F.unix_micros(F.col(ts).cast("timestamp"))
     b = F.least(F.floor((x - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1))
                         * buckets), F.lit(buckets - 1)).cast("int")
-    d = df.crossJoin(mm).withColumn("_b", b)
+    d = with_scalars(df, mm).withColumn("_b", b)
     ranked = bucketed_row_number(d, [], "_b", [ts, *tiebreak], "_pos")
     return (ranked.withColumn("split", F.when(F.col("_pos") <= F.floor(F.col("_n") * frac),
                                               F.lit("train")).otherwise(F.lit("test")))

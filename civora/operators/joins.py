@@ -41,6 +41,16 @@ def enrich(facts: DataFrame, dim: DataFrame, on, how: str = "left",
     return facts.join(side, on, how)
 
 
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row aggregate as scalar-subquery columns.
+
+    Replaces ``df.crossJoin(one_row)``: the plan is a scalar subquery computed
+    once (and reused), not a nested-loop join.
+    """
+    s = one_row.select(F.struct(*[F.col(c) for c in one_row.columns]).alias("_s")).scalar()
+    return df.select("*", *[s[c].alias(c) for c in one_row.columns])
+
+
 # J7 / J8
 def semi(facts: DataFrame, keys: DataFrame, on) -> DataFrame:
     return facts.join(keys, on, "left_semi")
@@ -53,8 +63,6 @@ def anti(facts: DataFrame, keys: DataFrame, on) -> DataFrame:
 # Cartesian product of two fixed small lists
 def grid(spark, **axes) -> DataFrame:
     """Cartesian grid of fixed value lists, e.g. platform x is_boosted."""
-    out = None
-    for name, values in axes.items():
-        df = spark.createDataFrame([(v,) for v in values], [name])
-        out = df if out is None else out.crossJoin(df)
-    return out
+    from itertools import product
+    names = list(axes)
+    return spark.createDataFrame(list(product(*axes.values())), names)

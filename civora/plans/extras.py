@@ -168,7 +168,8 @@ def q_model_gap_flags(spark, sf_dir, max_gap: float = 0.10, min_auc: float = 0.7
     sp = stratified_split(df, "churned", "supporter_id")
     tr = auc(fitted.transform(sp.where("split = 'train'")).withColumn("p", positive_prob()), "churned", "p")
     te = auc(fitted.transform(sp.where("split = 'test'")).withColumn("p", positive_prob()), "churned", "p")
-    j = tr.select(F.col("auc").alias("train_auc")).crossJoin(te.select(F.col("auc").alias("test_auc")))
+    from civora.operators.joins import with_scalars
+    j = with_scalars(tr.select(F.col("auc").alias("train_auc")), te.select(F.col("auc").alias("test_auc")))
     return j.select("train_auc", "test_auc",
                     ((F.col("train_auc") - F.col("test_auc")) > max_gap).alias("overfit_flag"),
                     (F.col("test_auc") < min_auc).alias("auc_alert"))

@@ -28,7 +28,8 @@ def q_label_drift(spark, sf_dir, max_shift: float = 0.10):
         .agg(F.avg("churned").alias("base_rate"))
     new = churn_features(spark, sf_dir, as_of=NEW_AS_OF, point_in_time=True) \
         .agg(F.avg("churned").alias("rate"))
-    j = old.crossJoin(new)      # one row each
+    from civora.operators.joins import with_scalars
+    j = with_scalars(old, new)
     return j.select(round_half_up("base_rate", 9).alias("base_rate"), round_half_up("rate", 9).alias("rate"),
                     (F.abs(F.col("rate") - F.col("base_rate")) > max_shift).alias("drift_alert"))
 
@@ -82,7 +83,8 @@ def q_high_risk_top10(spark, sf_dir, max_share: float = 0.60):
     s = _rule_scores(spark, sf_dir, NEW_AS_OF)
     share = s.agg(F.avg((F.col("risk_tier") == "high").cast("double")).alias("high_share"))
     top = s.orderBy(F.col("rule_score").desc(), F.col("supporter_id")).limit(10)
-    return top.crossJoin(share).select("supporter_id", "rule_score",
+    from civora.operators.joins import with_scalars
+    return with_scalars(top, share).select("supporter_id", "rule_score",
                                        round_half_up("high_share", 9).alias("high_share"),
                                        (F.col("high_share") < max_share).alias("gate_passed"))
 
@@ -158,7 +160,8 @@ def kendall_tau_b(df: DataFrame, a: str, b: str, max_levels: int = 200) -> DataF
     ta = g.groupBy(a).agg(F.sum("n").alias("m")).agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("n1"))
     tb = g.groupBy(b).agg(F.sum("n").alias("m")).agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("n2"))
     n0 = g.agg(F.sum("n").alias("N")).select((F.col("N") * (F.col("N") - 1) / 2).alias("n0"), "N")
-    j = cd.crossJoin(ta).crossJoin(tb).crossJoin(n0)   # four one-row aggregates
+    from civora.operators.joins import with_scalars
+    j = with_scalars(with_scalars(with_scalars(cd, ta), tb), n0)
     tau = (F.col("C") - F.col("D")) / F.sqrt((F.col("n0") - F.col("n1")) * (F.col("n0") - F.col("n2")))
     return j.select("N", tau.alias("tau_b"))
 

@@ -136,7 +136,8 @@ def bivariate_stats(df: DataFrame, label: str, numeric: list[str], categorical:
         g = df.groupBy(c).agg(F.count(label).alias("n"), F.avg(label).alias("m"),
                               F.var_pop(label).alias("v"))
         tot = df.agg(F.count(label).alias("_tn"), F.avg(label).alias("_tm"))
-        s = g.crossJoin(tot).agg(
+        from civora.operators.joins import with_scalars
+        s = with_scalars(g, tot).agg(
             F.sum(F.col("n") * (F.col("m") - F.col("_tm")) ** 2).alias("ssb"),
             F.sum(F.col("n") * F.col("v")).alias("ssw"), F.count(F.lit(1)).alias("k"),
             F.first("_tn").alias("N"))
@@ -150,12 +151,15 @@ def bivariate_stats(df: DataFrame, label: str, numeric: list[str], categorical:
         ct = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("o"))
         ra = ct.groupBy(a).agg(F.sum("o").alias("ra"))
         cb = ct.groupBy(b).agg(F.sum("o").alias("cb"))
-        N = ct.agg(F.sum("o").alias("N"))
-        full = ra.crossJoin(cb).join(ct, [a, b], "left").fillna(0, ["o"]).crossJoin(N)
+        from civora.operators.joins import with_scalars
+        # sum (O - E)^2 / E = sum O^2 / E - N: empty cells add nothing, so only
+        # observed cells are needed (no dense level x level grid)
+        cells = with_scalars(ct.join(ra, a).join(cb, b),
+                             ct.agg(F.sum("o").alias("N"), F.count_distinct(a).alias("r"),
+                                    F.count_distinct(b).alias("c")))
         e = F.col("ra") * F.col("cb") / F.col("N")
-        s = full.agg(F.sum((F.col("o") - e) ** 2 / e).alias("chi2"),
-                     F.count_distinct(a).alias("r"), F.count_distinct(b).alias("c"),
-                     F.first("N").alias("N"))
+        s = cells.agg((F.sum(F.col("o") ** 2 / e) - F.first("N")).alias("chi2"),
+                      F.first("r").alias("r"), F.first("c").alias("c"), F.first("N").alias("N"))
         outs.append(s.select(F.lit("chi2").alias("test"), F.lit(f"{a}|{b}").alias("feature"),
                              F.col("chi2").alias("statistic"),
                              ((F.col("r") - 1) * (F.col("c") - 1)).cast("double").alias("df1"),

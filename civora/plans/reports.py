@@ -232,7 +232,8 @@ CHURN_ROW_FACTORS_SQL = CHURN_ROW_FACTORS_SQL.replace(
 def q_centered_square(spark, sf_dir):
     posts = _raw_posts(spark, sf_dir)
     mu = posts.agg(F.avg("caption_length").alias("_mu"))
-    d = posts.select("caption_length").distinct().crossJoin(mu)   # one-row side
+    from civora.operators.joins import with_scalars
+    d = with_scalars(posts.select("caption_length").distinct(), mu)
     return d.select("caption_length",
                     round_half_up((F.col("caption_length") - F.col("_mu")) ** 2, 6).alias("caption_sq"))
 
@@ -252,7 +253,8 @@ def average_ranks(df: DataFrame, col: str, out: str, buckets: int = 4096) -> Dat
     b = F.least(F.floor((F.col("_v") - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"),
                                                                     F.lit(1e-300)) * buckets),
                 F.lit(buckets - 1)).cast("int")
-    cb = c.crossJoin(mm).withColumn("_b", b)
+    from civora.operators.joins import with_scalars
+    cb = with_scalars(c, mm).withColumn("_b", b)
     cum = bucketed_prefix_sum(cb, [], "_b", ["_v"], ["_n"])
     ranks = cum.select(F.col("_v").alias(col), (F.col("_n_cum") - F.col("_n") + (F.col("_n") + 1) / 2)
                        .alias(out))
@@ -282,7 +284,8 @@ def q_durbin_watson(spark, sf_dir):
     mm = e.agg(F.min(F.unix_micros(F.col("created_at").cast("timestamp"))).alias("_lo"),
                F.max(F.unix_micros(F.col("created_at").cast("timestamp"))).alias("_hi"))
     x = F.unix_micros(F.col("created_at").cast("timestamp"))
-    d = e.crossJoin(mm).withColumn("_b", F.least(F.floor((x - F.col("_lo")) / F.greatest(
+    from civora.operators.joins import with_scalars
+    d = with_scalars(e, mm).withColumn("_b", F.least(F.floor((x - F.col("_lo")) / F.greatest(
         F.col("_hi") - F.col("_lo"), F.lit(1)) * 4096), F.lit(4095)).cast("int"))
     ranked = bucketed_row_number(d, [], "_b", ["created_at", "post_id", "donation_referrals", "platform"],
                                  "_pos").select("_pos", "e")

@@ -93,7 +93,8 @@ def validation_report(df: DataFrame, num_cols: list[str], cat_col: str | None =
     out = out.withColumn("null_rate", 1 - F.col("non_null") / F.col("rows"))
     if cat_col and known_levels is not None:
         unseen = df.join(known_levels, cat_col, "left_anti").agg(F.count(F.lit(1)).alias("unseen_rows"))
-        out = out.crossJoin(unseen)
+        from civora.operators.joins import with_scalars
+        out = with_scalars(out, unseen)
     return out
 
 
