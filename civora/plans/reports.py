@@ -334,14 +334,18 @@ def q_pairwise_ttests(spark, sf_dir):
     posts = clean_posts(_raw_posts(spark, sf_dir))
     g = posts.groupBy("platform").agg(F.count(F.lit(1)).alias("n"), F.avg("donation_referrals").alias("m"),
                                       F.var_samp("donation_referrals").alias("v"))
-    a, b = g.alias("a"), g.alias("b")
-    p = a.join(b, F.col("a.platform") < F.col("b.platform"))   # k x k over k groups: tiny
-    se2 = F.col("a.v") / F.col("a.n") + F.col("b.v") / F.col("b.n")
-    t = (F.col("a.m") - F.col("b.m")) / F.sqrt(se2)
-    dfw = se2 ** 2 / ((F.col("a.v") / F.col("a.n")) ** 2 / (F.col("a.n") - 1)
-                      + (F.col("b.v") / F.col("b.n")) ** 2 / (F.col("b.n") - 1))
+    # pairs of groups (k(k-1)/2 rows, k = number of groups) from one array of the
+    # k group summaries: explode + filter, no join
+    arr = g.agg(F.collect_list(F.struct("platform", "n", "m", "v")).alias("gs"))
+    a = arr.select("gs", F.explode("gs").alias("a"))
+    p = a.select("a", F.explode(F.filter("gs", lambda x: x["platform"] > F.col("a")["platform"])).alias("b"))
+    A = lambda f: F.col("a")[f]
+    B = lambda f: F.col("b")[f]
+    se2 = A("v") / A("n") + B("v") / B("n")
+    t = (A("m") - B("m")) / F.sqrt(se2)
+    dfw = se2 ** 2 / ((A("v") / A("n")) ** 2 / (A("n") - 1) + (B("v") / B("n")) ** 2 / (B("n") - 1))
     n_pairs = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    return p.select(F.col("a.platform").alias("group_a"), F.col("b.platform").alias("group_b"),
+    return p.select(A("platform").alias("group_a"), B("platform").alias("group_b"),
                     round_half_up(t, 6).alias("t"), round_half_up(dfw, 4).alias("welch_df"),
                     n_pairs.alias("bonferroni_m"))
 
