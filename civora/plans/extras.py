@@ -202,3 +202,118 @@ def q_kmeans_profiles(spark, sf_dir):
 
 
 _ = standin
+
+
+# Yeo-Johnson lambda search on allocation amounts --------------------------------------------------
+def q_yeo_johnson_fit(spark, sf_dir):
+    from civora.operators.prep import yeo_johnson_lambda
+    lam, table = yeo_johnson_lambda(standin(spark, sf_dir, "posts"), "estimated_donation_value")
+    return table.withColumn("chosen", F.abs(F.col("lambda") - F.lit(lam)) < 1e-12)
+
+
+# F13 + F17: iterative imputation of the incomplete numeric post columns ------------------------------------
+def q_iterative_impute(spark, sf_dir):
+    from civora.operators.prep import iterative_impute, split_by_type
+    posts = standin(spark, sf_dir, "posts")
+    types = split_by_type(posts, drop=["post_id"])
+    nums = [c for c in ["engagement_rate", "donation_referrals", "caption_length"] if c in types["numeric"]]
+    out = iterative_impute(posts.select(*nums), nums, rounds=2)
+    return out.agg(F.count(F.lit(1)).alias("rows"),
+                   *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in nums],
+                   *[F.avg(c).alias(f"{c}_mean") for c in nums])
+
+
+# Model selection on the churn task -------------------------------------------------
+def q_model_selection(spark, sf_dir):
+    from civora.operators.evaluate import auc, balanced_weights, stratified_split
+    from civora.operators.joins import materialize
+    from civora.plans.churn import CAT_COLS, NUM_COLS, churn_features
+    from civora.plans.models import (build_pipeline, cross_validated, feature_names, positive_prob,
+                                     select_from_importances, select_model)
+    from pyspark.ml.tuning import ParamGridBuilder
+    df = churn_features(spark, sf_dir).withColumn("label", F.col("churned").cast("double"))
+    sp = stratified_split(df, "churned", "supporter_id", k_folds=3)
+    w = balanced_weights(sp.where("split = 'train'"), "churned").select("churned", "weight")
+    data = materialize(sp.join(F.broadcast(w), "churned"))
+    train, test = data.where("split = 'train'"), data.where("split = 'test'")
+    results, rows = {}, []
+    for kind, params in [("rf", {"numTrees": 30, "maxDepth": 5}), ("gbt", {"maxIter": 20, "maxDepth": 3}),
+                         ("lr", {"maxIter": 100})]:
+        pipe = build_pipeline(NUM_COLS, CAT_COLS, kind, **params)
+        if kind == "lr":                       # M16: grid search over the regularisation
+            est = pipe.getStages()[-1]
+            grid = ParamGridBuilder().addGrid(est.regParam, [0.0, 0.1]).build()
+            model = cross_validated(pipe, train, grid).bestModel
+        else:
+            model = pipe.fit(train)
+        a = auc(model.transform(test).withColumn("p", positive_prob()), "churned", "p").first()["auc"]
+        results[kind] = a
+        kept = ""
+        if kind != "lr":
+            imps = list(model.stages[-1].featureImportances.toArray())
+            kept = ",".join(select_from_importances(imps, feature_names(model, NUM_COLS, CAT_COLS)))
+        rows.append((kind, float(a), kept))
+    chosen = select_model(results, prefer="rf", margin=0.02)
+    return spark.createDataFrame([(k, a, k == chosen, kept) for k, a, kept in rows],
+                                 "model string, test_auc double, selected boolean, kept_features string")
+
+
+# IO8 / IO9 / P37: register two versions, fail a gate, roll back --------------------------------------------
+def q_registry_roundtrip(spark, sf_dir):
+    import uuid
+
+    from civora.functions.columns import stamp_run
+    from civora.plans.models import score_churn, train_churn
+    from civora.session import scratch_path
+    from civora.sources import registry as R
+    root = scratch_path(spark, "registry", uuid.uuid4().hex[:12])
+    fitted, meta = train_churn(spark, sf_dir, model="lr", maxIter=50)
+    R.register(spark, "churn", fitted, 0, meta["features"], {"auc": meta["auc"]}, True, root, version="v1")
+    R.register(spark, "churn", fitted, 0, meta["features"], {"auc": meta["auc"]}, True, root, version="v2")
+    R.register(spark, "churn", fitted, 0, meta["features"], {"auc": 0.0}, False, root, version="v3")
+    R.set_live(spark, "churn", "v1", "rollback", root)
+    live = R.live_version(spark, "churn", root)
+    scored = stamp_run(score_churn(spark, sf_dir, R.load_live(spark, "churn", root), meta), live)
+    hist = R.history(spark, "churn", root).select("version", "passed")
+    n = scored.agg(F.count(F.lit(1)).alias("n_scored"), F.first("model_version").alias("scored_with"))
+    from civora.operators.joins import with_scalars
+    return with_scalars(hist, n).withColumn("live", F.col("version") == F.lit(live))
+
+
+# ST1: incremental rescore over the donation file stream equals the batch scores -------------------------------
+def q_incremental_rescore(spark, sf_dir):
+    import uuid
+
+    from civora.plans.io_queries import _rule_scores
+    from civora.sources.sinks import read_latest
+    from civora.streaming.rescore import incremental_rescore
+    from civora.sources.tables import table_path
+    schema = spark.read.parquet(table_path(sf_dir, "orders")).schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "orders*.parquet").parquet(sf_dir)
+              .select(F.col("o_custkey").alias("supporter_id")))
+    # history = every donation key; the features themselves come from the tables
+    history = spark.read.parquet(table_path(sf_dir, "orders")).select(F.col("o_custkey").alias("supporter_id"))
+    table = f"rescore_{uuid.uuid4().hex[:8]}"
+    all_scores = _rule_scores(spark, sf_dir, "DATE '2001-08-02'").drop("scored_as_of")
+
+    def feature_fn(keys):
+        return all_scores.join(keys.select("supporter_id").distinct(), "supporter_id", "left_semi")
+
+    q = incremental_rescore(spark, stream, history, feature_fn, lambda f: f, table=table)
+    q.processAllAvailable()
+    q.stop()
+    return read_latest(spark, table)
+
+
+def _incremental_sql():
+    from civora.plans.io_queries import SCORE_UPSERT_SQL, _rule_sql
+    head = SCORE_UPSERT_SQL.split(", o AS (")[0]
+    return head + f""", n AS ({_rule_sql("DATE '2001-08-02'")})
+SELECT supporter_id, rule_score,
+       CASE WHEN rule_score >= 0.7 THEN 'high' WHEN rule_score >= 0.4 THEN 'medium' ELSE 'low' END AS risk_tier
+FROM n
+"""
+
+
+INCREMENTAL_RESCORE_SQL = _incremental_sql()

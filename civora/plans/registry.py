@@ -102,4 +102,9 @@ REGISTRY: dict[str, Query] = {
     "ols_diagnostics": Query(ex.q_ols_diagnostics, None, "S4 S5 S6 S7 S8 S10 S18 S2 S3"),
     "model_gap_flags": Query(ex.q_model_gap_flags, None, "X3 M19"),
     "kmeans_profiles": Query(ex.q_kmeans_profiles, None, "M32"),
+    "yeo_johnson_fit": Query(ex.q_yeo_johnson_fit, None, "F10 F9"),
+    "iterative_impute": Query(ex.q_iterative_impute, None, "F13 F17"),
+    "model_selection": Query(ex.q_model_selection, None, "M5 M6 M7 M16 M24 M31 M26"),
+    "registry_roundtrip": Query(ex.q_registry_roundtrip, None, "IO8 IO9 P37 X6"),
+    "incremental_rescore": Query(ex.q_incremental_rescore, ex.INCREMENTAL_RESCORE_SQL, "ST1 IO4"),
 }
