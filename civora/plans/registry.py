@@ -107,4 +107,5 @@ REGISTRY: dict[str, Query] = {
     "model_selection": Query(ex.q_model_selection, None, "M5 M6 M7 M16 M24 M31 M26"),
     "registry_roundtrip": Query(ex.q_registry_roundtrip, None, "IO8 IO9 P37 X6"),
     "incremental_rescore": Query(ex.q_incremental_rescore, ex.INCREMENTAL_RESCORE_SQL, "ST1 IO4"),
+    "multivariate_outliers": Query(ex.q_multivariate_outliers, ex.MULTIVARIATE_OUTLIERS_SQL, "F15"),
 }
