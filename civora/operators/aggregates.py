@@ -65,11 +65,14 @@ def churn_label(recency_days="recency_days", ever_recurring="ever_recurring",
 # Group describe
 def group_describe(df: DataFrame, by: list[str], value: str) -> DataFrame:
     v = F.col(value)
-    return df.groupBy(*by).agg(
+    base = df.groupBy(*by).agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.percentile(v, 0.25).alias("q25"),
-        F.percentile(v, 0.5).alias("q50"), F.percentile(v, 0.75).alias("q75"),
-        F.max(v).alias("max"))
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    q = exact_quantiles(df, by, value, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
+    if by:
+        return base.join(q, by, "left")
+    from civora.operators.joins import with_scalars
+    return with_scalars(base, q)
 
 
 # Most frequent value per group, ties -> smallest value
@@ -124,3 +127,51 @@ def group_rate_alert(df: DataFrame, by: str, cond: Column, threshold: float) ->
             .agg(F.count(F.lit(1)).alias("n"), F.count_if(cond).alias("n_flagged"))
             .withColumn("rate", F.col("n_flagged") / F.col("n"))
             .withColumn("alert", F.col("rate") > threshold))
+
+
+# Exact quantiles without one task per group ------------------------
+
+def exact_quantiles(df: DataFrame, by: list[str], col: str, qs: list[float],
+                    names: list[str] | None = None, buckets: int = 1024) -> DataFrame:
+    """Exact (linearly interpolated) quantiles per group, same values as
+    ``percentile(col, q)``, without gathering a group's distinct values in one task.
+
+    1. (group, value) counts -- a hot group is spread over tasks by value;
+    2. per-group min / max / N, and a range bucket of the value inside its group;
+    3. running counts by (group, bucket) via ``bucketed_prefix_sum``;
+    4. the values at 0-based ranks floor((N-1)q) and ceil((N-1)q) are picked by
+       a conditional max, then interpolated as Spark's ``percentile`` does.
+    """
+    from civora.operators.joins import with_scalars
+    from civora.operators.temporal import bucketed_prefix_sum
+    names = names or [f"q{int(round(q * 100))}" for q in qs]
+    x = F.col(col).cast("double")
+    vc = df.where(x.isNotNull()).groupBy(*by, x.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    mm = vc.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_tot"))
+    j = vc.join(mm, by) if by else with_scalars(vc, mm)
+    b = F.least(F.floor((F.col("_v") - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
+                        * buckets), F.lit(buckets - 1)).cast("int")
+    cum = bucketed_prefix_sum(j.withColumn("_b", b), by, "_b", ["_v"], ["_n"])
+    before = F.col("_n_cum") - F.col("_n")            # rows strictly below this value
+    aggs = []
+    for q, nm in zip(qs, names):
+        pos = (F.col("_tot") - 1) * q
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs += [F.max(F.when((before <= lo) & (lo < F.col("_n_cum")), F.col("_v"))).alias(f"_l_{nm}"),
+                 F.max(F.when((before <= hi) & (hi < F.col("_n_cum")), F.col("_v"))).alias(f"_h_{nm}"),
+                 F.first(pos).alias(f"_p_{nm}")]
+    g = cum.groupBy(*by).agg(*aggs)
+    out = []
+    for nm in names:
+        p, lo_v, hi_v = F.col(f"_p_{nm}"), F.col(f"_l_{nm}"), F.col(f"_h_{nm}")
+        lo, hi = F.floor(p), F.ceil(p)
+        out.append(F.when(lo == hi, lo_v).otherwise((hi - p) * lo_v + (p - lo) * hi_v).alias(nm))
+    return g.select(*by, *out)
+
+
+def stacked_quantiles(df: DataFrame, cols: list[str], qs: list[float], names: list[str],
+                      label: str = "column") -> DataFrame:
+    """``exact_quantiles`` for several columns at once: (column, value) pairs stacked long."""
+    pairs = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in cols)
+    long = df.select(F.expr(f"stack({len(cols)}, {pairs}) AS ({label}, _x)"))
+    return exact_quantiles(long, [label], "_x", qs, names)

@@ -62,12 +62,13 @@ def dummy_columns(df: DataFrame, col: str, drop_first: bool = True,
 
 def fit_numeric_stats(df: DataFrame, cols: list[str]) -> dict[str, dict[str, float]]:
     """Exact medians (``percentile``), population mean / std in one aggregation."""
+    from civora.operators.aggregates import stacked_quantiles
     aggs = []
     for c in cols:
-        aggs += [F.percentile(F.col(c), 0.5).alias(f"{c}__median"),
-                 F.avg(c).alias(f"{c}__mean"), F.stddev_pop(c).alias(f"{c}__std")]
+        aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_pop(c).alias(f"{c}__std")]
     row = df.agg(*aggs).first()
-    return {c: {"median": row[f"{c}__median"], "mean": row[f"{c}__mean"], "std": row[f"{c}__std"]}
+    med = {r["column"]: r["median"] for r in stacked_quantiles(df, cols, [0.5], ["median"]).collect()}
+    return {c: {"median": med.get(c), "mean": row[f"{c}__mean"], "std": row[f"{c}__std"]}
             for c in cols}
 
 
@@ -154,16 +155,17 @@ def row_fill_share(cols: list[str]) -> Column:
 # outlier clamp: Tukey fences if skewed else mean +/- 3 std ---------------------------
 
 def fit_outlier_bounds(df: DataFrame, cols: list[str], skew_limit: float = 1.0) -> DataFrame:
+    from civora.operators.aggregates import stacked_quantiles
     aggs = []
     for c in cols:
-        aggs += [F.percentile(c, 0.25).alias(f"{c}__q1"), F.percentile(c, 0.75).alias(f"{c}__q3"),
-                 F.avg(c).alias(f"{c}__mu"), F.stddev_samp(c).alias(f"{c}__sd"),
+        aggs += [F.avg(c).alias(f"{c}__mu"), F.stddev_samp(c).alias(f"{c}__sd"),
                  # sample-adjusted skewness (pandas convention)
                  (F.skewness(c) * F.sqrt(F.count(c) * (F.count(c) - 1)) / (F.count(c) - 2))
                  .alias(f"{c}__sk")]
     wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', `{c}__q1`, `{c}__q3`, `{c}__mu`, `{c}__sd`, `{c}__sk`" for c in cols)
-    long = wide.select(F.expr(f"stack({len(cols)}, {stack}) AS (column, q1, q3, mu, sd, skew)"))
+    stack = ", ".join(f"'{c}', `{c}__mu`, `{c}__sd`, `{c}__sk`" for c in cols)
+    long = wide.select(F.expr(f"stack({len(cols)}, {stack}) AS (column, mu, sd, skew)")).join(
+        stacked_quantiles(df, cols, [0.25, 0.75], ["q1", "q3"]), "column")
     iqr = F.col("q3") - F.col("q1")
     skewed = F.abs(F.col("skew")) > skew_limit
     return (long.withColumn("method", F.when(skewed, F.lit("tukey")).otherwise(F.lit("sigma3")))

@@ -22,10 +22,9 @@ PROFILE_COLS = ["donation_referrals", "num_hashtags", "caption_length", "post_ho
 def univariate_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, nulls, unique, min, q1, median, q3, max, mean, std, skew, kurt per column.
 
-    Two passes instead of one aggregate with several COUNT(DISTINCT)s (whose
-    Expand would multiply the input for every other aggregate): moments and
-    exact quartiles in one aggregation, distinct counts from the stacked
-    (column, value) pairs, de-duplicated map-side. Skewness / kurtosis are
+    Moments in one aggregation; exact quartiles and distinct counts from the
+    stacked (column, value) pairs (``stacked_quantiles``; distinct values
+    de-duplicated map-side), never one task per column. Skewness / kurtosis are
     sample-adjusted (pandas convention) from Spark's population moments:
     G1 = g1 sqrt(n(n-1))/(n-2), G2 = (n-1)/((n-2)(n-3))((n+1)g2+6).
     """
@@ -33,16 +32,17 @@ def univariate_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__n"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, [0.25, 0.5, 0.75]).alias(f"{c}__q"),
                  F.max(x).alias(f"{c}__max"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.skewness(x).alias(f"{c}__g1"),
                  F.kurtosis(x).alias(f"{c}__g2")]
     wide = df.agg(*aggs)
     fields = ["n", "min", "max", "mean", "std", "g1", "g2"]
     stack = ", ".join(f"'{c}', " + ", ".join(f"CAST(`{c}__{f}` AS DOUBLE)" for f in fields)
-                      + f", `{c}__q`" for c in cols)
+                      for c in cols)
     long = wide.select("_rows", F.expr(
-        f"stack({len(cols)}, {stack}) AS (column, {', '.join(fields)}, q)"))
+        f"stack({len(cols)}, {stack}) AS (column, {', '.join(fields)})"))
+    from civora.operators.aggregates import stacked_quantiles
+    long = long.join(stacked_quantiles(df, cols, [0.25, 0.5, 0.75], ["_q1", "_q2", "_q3"]), "column", "left")
     pairs = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in cols)
     uniq = (df.select(F.expr(f"stack({len(cols)}, {pairs}) AS (column, v)"))
               .where(F.col("v").isNotNull()).distinct()
@@ -55,7 +55,7 @@ def univariate_profile(df: DataFrame, cols: list[str]) -> DataFrame:
         "column", n.cast("bigint").alias("count"),
         (F.col("_rows") - n).cast("bigint").alias("nulls"),
         F.coalesce(F.col("unique"), F.lit(0)).cast("bigint").alias("unique"), "min",
-        F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "max",
+        F.col("_q1").alias("q1"), F.col("_q2").alias("median"), F.col("_q3").alias("q3"), "max",
         r(F.col("mean"), "mean"), r(F.col("std"), "std"), r(g1, "skew"), r(g2, "kurt"))
 
 
