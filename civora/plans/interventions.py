@@ -113,12 +113,12 @@ def training_frame(spark: SparkSession, sf_dir: str, days: int = FOLLOWUP_DAYS)
 def assign_clusters(frame: DataFrame, sizes: DataFrame, min_size: int = K.MIN_CLUSTER_SIZE) -> DataFrame:
     """full label if its level count >= min_size, else partial, else risk level.
 
-    ``sizes`` is (label, n); its row count is bounded by the number of distinct
-    profile labels (risk x flag subsets x age bands), so it is broadcast after a
-    size check.
+    ``sizes`` is (label, n). Its row count is bounded by construction: labels
+    are built from fixed vocabularies -- 5 risk values (incl. None) x 2^6 flag
+    subsets x 5 age bands full labels plus 5 x 2^6 partial labels, at most
+    1,920 rows whatever the data size -- so it is broadcast directly.
     """
-    from civora.operators.joins import bounded_broadcast
-    s = bounded_broadcast(sizes.select(F.col("label"), F.col("n")), max_rows=200_000)
+    s = F.broadcast(sizes.select(F.col("label"), F.col("n")))
     full = s.select(F.col("label").alias("full_label"), F.col("n").alias("_nf"))
     part = s.select(F.col("label").alias("partial_label"), F.col("n").alias("_np"))
     return (frame.join(full, "full_label", "left").join(part, "partial_label", "left")
@@ -138,7 +138,7 @@ def level_counts(frame: DataFrame) -> DataFrame:
 def clustered_training_frame(spark, sf_dir, days: int = FOLLOWUP_DAYS) -> DataFrame:
     from civora.operators.joins import materialize
     tf = materialize(training_frame(spark, sf_dir, days))
-    return materialize(assign_clusters(tf, level_counts(tf)))
+    return assign_clusters(tf, level_counts(tf))
 
 
 def cluster_recommendations(tf: DataFrame) -> DataFrame:
@@ -216,8 +216,7 @@ def outcome_factors(cluster, services, stype, band, worker, score, size):
 def recommendations(spark: SparkSession, sf_dir: str, days: int = FOLLOWUP_DAYS) -> DataFrame:
     """Scoring half of X10: every active case gets its cluster's recommendation."""
     tf = clustered_training_frame(spark, sf_dir, days)
-    from civora.operators.joins import materialize
-    recs = materialize(cluster_recommendations(tf))
+    recs = cluster_recommendations(tf)          # one row per cluster (bounded as above)
     sizes = recs.select(F.col("profile_cluster").alias("label"), F.col("cluster_size").alias("n"))
     cases = assign_clusters(active_cases(spark, sf_dir), sizes)
     workers = best_workers(tf, worker_roster(spark, sf_dir))

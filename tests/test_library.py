@@ -130,3 +130,18 @@ def test_incremental_rescore_equals_batch(spark):
     want = sorted(map(tuple, feature_fn(history).where(F.col("supporter_id").isin(0, 1, 3, 5, 6)).collect()))
     assert got == want
     assert os.path.isdir(src)
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from civora.operators.aggregates import exact_quantiles
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"g": rng.integers(0, 4, 3000), "x": np.round(rng.lognormal(size=3000), 3)})
+    pdf.loc[::7, "x"] = np.nan
+    df = spark.createDataFrame(pdf).replace(float("nan"), None)
+    qs = [0.25, 0.5, 0.75, 0.9]
+    got = exact_quantiles(df, ["g"], "x", qs).orderBy("g").collect()
+    ref = df.groupBy("g").agg(*[F.percentile("x", q).alias(f"r{i}") for i, q in enumerate(qs)]) \
+        .orderBy("g").collect()
+    for a, b in zip(got, ref):
+        for i, q in enumerate(qs):
+            assert abs(a[f"q{int(q * 100)}"] - b[f"r{i}"]) < 1e-12
