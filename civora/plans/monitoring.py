@@ -141,6 +141,8 @@ def kendall_tau_b(df: DataFrame, a: str, b: str, max_levels: int = 200) -> DataF
     concordant / discordant totals are then sums of cell x suffix products.
     """
     d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    if d.select(a).distinct().limit(100_001).count() > 100_000:
+        raise ValueError(f"{a}: too many levels for the dominance table; bin it first")
     levels = [r[0] for r in d.select(b).distinct().orderBy(b).limit(max_levels + 1).collect()]
     if len(levels) > max_levels:
         raise ValueError(f"{b}: more than {max_levels} levels; bin it first")
