@@ -60,14 +60,16 @@ def dummy_columns(df: DataFrame, col: str, drop_first: bool = True,
 
 # Imputation and scaling ---------------------------------------------
 
-def fit_numeric_stats(df: DataFrame, cols: list[str]) -> dict[str, dict[str, float]]:
-    """Exact medians (``percentile``), population mean / std in one aggregation."""
+def fit_numeric_stats(df: DataFrame, cols: list[str],
+                      with_median: bool = True) -> dict[str, dict[str, float]]:
+    """Exact medians (distributed ``stacked_quantiles``), population mean / std."""
     from civora.operators.aggregates import stacked_quantiles
     aggs = []
     for c in cols:
         aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_pop(c).alias(f"{c}__std")]
     row = df.agg(*aggs).first()
-    med = {r["column"]: r["median"] for r in stacked_quantiles(df, cols, [0.5], ["median"]).collect()}
+    med = ({r["column"]: r["median"] for r in stacked_quantiles(df, cols, [0.5], ["median"]).collect()}
+           if with_median else {})
     return {c: {"median": med.get(c), "mean": row[f"{c}__mean"], "std": row[f"{c}__std"]}
             for c in cols}
 

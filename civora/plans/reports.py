@@ -33,7 +33,7 @@ def q_impute_scale(spark, sf_dir):
     posts = _raw_posts(spark, sf_dir)
     med = prep.fit_numeric_stats(posts, NUMS)
     filled = prep.impute_median_scale(posts, med, scale=False)
-    stats = prep.fit_numeric_stats(filled, NUMS)          # scaler fitted on the imputed data
+    stats = prep.fit_numeric_stats(filled, NUMS, with_median=False)   # scaler on the imputed data
     z = prep.impute_median_scale(filled, stats, scale=True)
     modes = prep.fit_modes(posts, ["is_boosted"])
     z = z.withColumn("is_boosted", F.coalesce(F.col("is_boosted"),
