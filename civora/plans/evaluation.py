@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from civora.functions.columns import round_half_up, sql_r
 from civora.operators import evaluate as ev
-from civora.plans.churn import CHURN_FEATURES_SQL, churn_features
+from civora.plans.churn import _GAP_RAW, churn_features, churn_sql_with
 from civora.plans.content import _CLEAN, clean_posts
 from civora.sources.standins import standin
 
@@ -18,20 +18,13 @@ def _scored(spark, sf_dir):
     return df.select("supporter_id", "churned", round_half_up(score, 3).alias("score"))
 
 
-_SCORED_SQL = CHURN_FEATURES_SQL.replace("\nSELECT a.supporter_id, s.supporter_type", """
+_SCORED_SQL = churn_sql_with(f"{_GAP_RAW} AS avg_gap_days_raw").replace(
+    "\nSELECT a.supporter_id, s.supporter_type", """
 , feat AS (SELECT a.supporter_id, s.supporter_type""", 1) + f""")
 , sc AS (SELECT supporter_id, churned,
                 {sql_r('least(1.0, recency_days / (avg_gap_days_raw * 4 + 1))', 3)} AS score
          FROM feat)
 """
-# the churn oracle rounds avg_gap_days; the score needs the unrounded value
-_SCORED_SQL = _SCORED_SQL.replace(
-    "       round(greatest(date_diff('day', a.first_donation_date_tx, a.last_donation_date), 0)\n"
-    "             / greatest(a.frequency - 1, 1), 6) AS avg_gap_days,",
-    "       round(greatest(date_diff('day', a.first_donation_date_tx, a.last_donation_date), 0)\n"
-    "             / greatest(a.frequency - 1, 1), 6) AS avg_gap_days,\n"
-    "       greatest(date_diff('day', a.first_donation_date_tx, a.last_donation_date), 0)\n"
-    "             / greatest(a.frequency - 1, 1) AS avg_gap_days_raw,")
 
 
 def q_stratified_split(spark, sf_dir):

@@ -360,3 +360,42 @@ FROM cu
 
 
 MULTIVARIATE_OUTLIERS_SQL = _dbscan_sql()
+
+
+# M8 + M11: depth sweep and regularised linear models on the content value target --------------------------
+def q_regression_model_sweep(spark, sf_dir):
+    from pyspark.ml.feature import VectorAssembler
+
+    from civora.operators.evaluate import time_split
+    from civora.plans.content import clean_posts
+    from civora.plans.models import depth_sweep, regularised_path
+    posts = clean_posts(standin(spark, sf_dir, "posts"))
+    va = VectorAssembler(inputCols=["num_hashtags", "caption_length", "post_hour", "engagement_rate"],
+                         outputCol="features")
+    sp = time_split(va.transform(posts), "created_at", ["post_id", "donation_referrals", "engagement_rate"])
+    from civora.operators.joins import materialize
+    sp = materialize(sp.select("features", "donation_referrals", "split"))
+    tr, te = sp.where("split = 'train'"), sp.where("split = 'test'")
+    rows = [("tree", float(r["depth"]), None, float(r["train_rmse"]), float(r["test_rmse"]), None)
+            for r in depth_sweep(tr, te, "donation_referrals", depths=(2, 4, 6))]
+    rows += [("linear", float(r["alpha"]), float(r["l1_ratio"]), None, None, float(r["r2"]))
+             for r in regularised_path(tr, "donation_referrals", alphas=(0.01, 1.0), l1_ratios=(0.0, 0.5, 1.0))]
+    return spark.createDataFrame(rows, "family string, param double, l1_ratio double, train_rmse double, "
+                                       "test_rmse double, train_r2 double")
+
+
+# Permutation importance of the churn model (hash-ordered permutations, no collect) ----------------------
+def q_permutation_importance(spark, sf_dir):
+    from civora.operators.evaluate import stratified_split
+    from civora.operators.prep import apply_rare_levels
+    from civora.plans.churn import churn_features
+    from civora.plans.models import permutation_importance, train_churn
+    fitted, meta = train_churn(spark, sf_dir, numTrees=20, maxDepth=4)
+    df = churn_features(spark, sf_dir).withColumn("label", F.col("churned").cast("double"))
+    for c, lv in meta["rare_levels"].items():
+        df = apply_rare_levels(df, c, lv)
+    test = stratified_split(df, "churned", "supporter_id").where("split = 'test'").drop("split", "fold", "pos")
+    rows = permutation_importance(fitted, test, ["recency_days", "frequency", "avg_gap_days"], label="churned",
+                                  repeats=2)
+    return spark.createDataFrame([(r["feature"], float(r["importance_mean"]), float(r["importance_std"]))
+                                  for r in rows], "feature string, importance_mean double, importance_std double")

@@ -108,4 +108,6 @@ REGISTRY: dict[str, Query] = {
     "registry_roundtrip": Query(ex.q_registry_roundtrip, None, "IO8 IO9 P37 X6"),
     "incremental_rescore": Query(ex.q_incremental_rescore, ex.INCREMENTAL_RESCORE_SQL, "ST1 IO4"),
     "multivariate_outliers": Query(ex.q_multivariate_outliers, ex.MULTIVARIATE_OUTLIERS_SQL, "F15"),
+    "regression_model_sweep": Query(ex.q_regression_model_sweep, None, "M8 M11 M23"),
+    "permutation_importance": Query(ex.q_permutation_importance, None, "M28"),
 }

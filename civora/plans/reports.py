@@ -15,7 +15,7 @@ from civora.functions.columns import (date_parts, det_avg, ratio_features, round
                                       rule_factors, sql_det_avg, sql_r)
 from civora.operators import prep
 from civora.operators.temporal import bucketed_prefix_sum, bucketed_row_number, daily_rollup
-from civora.plans.churn import CHURN_FEATURES_SQL, churn_features
+from civora.plans.churn import _GAP_RAW, CHURN_FEATURES_SQL, churn_features, churn_sql_with
 from civora.sources.standins import EVENT_AS_OF, duck_cte, standin
 
 NUMS = ["engagement_rate", "donation_referrals", "caption_length"]
@@ -203,11 +203,12 @@ def q_churn_row_factors(spark, sf_dir):
                      F.array_join(churn_row_factors(df), " | ").alias("top_risk_factors"))
 
 
-CHURN_ROW_FACTORS_SQL = CHURN_FEATURES_SQL.replace(
+CHURN_ROW_FACTORS_SQL = churn_sql_with(
+    f"ln(1 + a.total_value) AS total_value_log_raw, {_GAP_RAW} AS avg_gap_raw").replace(
     "\nSELECT a.supporter_id, s.supporter_type", "\n, f AS (SELECT a.supporter_id, s.supporter_type", 1) \
     + f""")
 , g AS (SELECT supporter_id, recency_days, frequency, ever_recurring,
-               recency_days / (frequency + 1) AS rpg, total_value_log / (tenure_days + 1) AS vpt,
+               recency_days / (frequency + 1) AS rpg, total_value_log_raw / (tenure_days + 1) AS vpt,
                recency_days > avg_gap_raw * 1.5 AS od FROM f)
 , l AS (SELECT *, list_filter([
           CASE WHEN recency_days > {K.ROW_FACTOR_RECENCY_DAYS} THEN 'Last donation was ' || CAST(recency_days AS VARCHAR) || ' days ago' END,
@@ -221,11 +222,6 @@ SELECT supporter_id, {sql_r('rpg')} AS recency_per_gift, {sql_r('vpt', 9)} AS va
          AS top_risk_factors
 FROM l
 """
-CHURN_ROW_FACTORS_SQL = CHURN_ROW_FACTORS_SQL.replace(
-    "       round(ln(1 + round(a.total_value, 4)), 6) AS total_value_log,",
-    "       ln(1 + a.total_value) AS total_value_log,\n"
-    "       greatest(date_diff('day', a.first_donation_date_tx, a.last_donation_date), 0)"
-    " / greatest(a.frequency - 1, 1) AS avg_gap_raw,")
 
 
 # P29 -------------------------------------------------------------------------------
