@@ -186,7 +186,10 @@ def q_versioned_statements(spark, sf_dir):
     write_version(st, path, "v1")
     write_version(st, path, "v2")          # a second version
     write_version(st, path, "v2")          # re-scoring the same version replaces it (no duplicates)
-    return spark.read.parquet(path).where(F.col("model_version") == "v2").drop("model_version")
+    # explicit schema: a version with no statements writes no data files
+    schema = st.schema.add("model_version", "string")
+    return (spark.read.schema(schema).parquet(path)
+            .where(F.col("model_version") == "v2").drop("model_version"))
 
 
 VERSIONED_STATEMENTS_SQL = IMPACT_STATEMENTS_SQL
