@@ -131,7 +131,6 @@ def q_ols_diagnostics(spark, sf_dir, min_significant: int = 3):
             d = df.where(F.col(y).isNotNull())
             fit = ols(d, y, ["log_amount", *dummies], absorb="site_id")
             bc = {c["term"]: c["coef"] for c in fit["coefs"]}
-            pred = sum((F.col(t) * F.lit(b) for t, b in bc.items()), F.lit(0.0))
             dm = d.join(d.groupBy("site_id").agg(F.avg(y).alias("_my"),
                                                  *[F.avg(c).alias(f"_m{c}") for c in bc]), "site_id")
             e = F.col(y) - F.col("_my") - sum((( F.col(t) - F.col(f"_m{t}")) * F.lit(b) for t, b in bc.items()),
@@ -146,7 +145,6 @@ def q_ols_diagnostics(spark, sf_dir, min_significant: int = 3):
                          cohens_f2_label(fit["cohens_f2"]), float(mom["mae"]), float(mom["rmse"]),
                          float(k2), float(k2p), float(max(vifs.values())), n_sig,
                          "fail" if n_sig == 0 else "warn" if n_sig < min_significant else "pass"))
-            del pred
     schema = ("outcome string, window_months int, n int, r2 double, adj_r2 double, bp_lm double, "
               "bp_p double, cov_type string, cond_no double, cohens_f2 double, f2_size string, "
               "mae double, rmse double, normaltest_k2 double, normaltest_p double, max_vif double, "
@@ -204,8 +202,6 @@ def q_kmeans_profiles(spark, sf_dir):
     return spark.createDataFrame([(r["k"], float(r["silhouette"])) for r in rows], "k int, silhouette double")
 
 
-_ = standin
-
 
 # Yeo-Johnson lambda search on allocation amounts --------------------------------------------------
 def q_yeo_johnson_fit(spark, sf_dir):
