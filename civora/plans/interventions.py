@@ -187,11 +187,11 @@ def best_workers(tf: DataFrame, roster: DataFrame) -> DataFrame:
     j = valid.join(roster.select("site_id", F.col("worker").alias("primary_sw")),
                    ["site_id", "primary_sw"], "left_semi")
     m = j.groupBy("profile_cluster", "site_id", "primary_sw").agg(
-        F.avg("composite_score_delta").alias("_m"))
+        det_avg("composite_score_delta").alias("_m"))        # order-independent mean
     return m.groupBy("profile_cluster", "site_id").agg(
         F.min_by(F.col("primary_sw"), F.struct(-F.col("_m"), F.col("primary_sw")))
          .alias("recommended_worker"),
-        F.round(F.max("_m"), 3).alias("worker_outcome_score"))
+        round_half_up(F.max("_m"), 3).alias("worker_outcome_score"))
 
 
 def outcome_factors(cluster, services, stype, band, worker, score, size):
@@ -254,15 +254,15 @@ def q_session_windows(spark, sf_dir):
     w = window_summaries(_sessions(spark, sf_dir))
     return w.select("case_id", "chunk", "session_count", "window_start", "primary_service",
                     "dominant_session_type", "primary_sw",
-                    F.round("sessions_per_month", 4).alias("sessions_per_month"))
+                    round_half_up("sessions_per_month", 4).alias("sessions_per_month"))
 
 
 def q_asof_followup_delta(spark, sf_dir):
     tf = training_frame(spark, sf_dir)
     return tf.select("case_id", "chunk", "window_start",
-                     F.round("delta_health", 6).alias("delta_health"),
-                     F.round("delta_edu", 6).alias("delta_edu"), "delta_incidents",
-                     F.round("composite_score_delta", 6).alias("composite_score_delta"))
+                     round_half_up("delta_health", 6).alias("delta_health"),
+                     round_half_up("delta_edu", 6).alias("delta_edu"), "delta_incidents",
+                     round_half_up("composite_score_delta", 6).alias("composite_score_delta"))
 
 
 def q_cluster_assignment(spark, sf_dir):
@@ -296,7 +296,7 @@ def q_session_outcome_deltas(spark, sf_dir):
     return (s.select("recording_id", "case_id", "session_date", "interventions_applied")
              .join(d, ["case_id", "session_date"], "left")
              .select("recording_id", "case_id", "session_date", "interventions_applied",
-                     F.round("composite_score_delta", 6).alias("composite_score_delta"),
+                     round_half_up("composite_score_delta", 6).alias("composite_score_delta"),
                      "delta_incidents"))
 
 
@@ -396,13 +396,13 @@ _TRAIN_SQL = duck_cte("cases", "sessions", "health_records", "education_records"
 
 SESSION_WINDOWS_SQL = _TRAIN_SQL + """
 SELECT case_id, chunk, session_count, window_start, primary_service, dominant_session_type,
-       primary_sw, round(sessions_per_month, 4) AS sessions_per_month FROM ws
+       primary_sw, floor(sessions_per_month * 1e4 + 0.5) / 1e4 AS sessions_per_month FROM ws
 """
 
 ASOF_FOLLOWUP_SQL = _TRAIN_SQL + """
-SELECT case_id, chunk, window_start, round(delta_health, 6) AS delta_health,
-       round(delta_edu, 6) AS delta_edu, delta_incidents,
-       round(composite_score_delta, 6) AS composite_score_delta FROM tf
+SELECT case_id, chunk, window_start, floor(delta_health * 1e6 + 0.5) / 1e6 AS delta_health,
+       floor(delta_edu * 1e6 + 0.5) / 1e6 AS delta_edu, delta_incidents,
+       floor(composite_score_delta * 1e6 + 0.5) / 1e6 AS composite_score_delta FROM tf
 """
 
 CLUSTER_ASSIGNMENT_SQL = _TRAIN_SQL + """
@@ -457,8 +457,8 @@ INTERVENTION_RECS_SQL = _RECS_SQL + f"""
   GROUP BY ALL HAVING count(*) >= 3
 ), wk AS (
   SELECT profile_cluster, site_id, arg_min(primary_sw, (-m, primary_sw)) AS recommended_worker,
-         round(max(m), 3) AS worker_outcome_score
-  FROM (SELECT v.profile_cluster, v.site_id, v.primary_sw, avg(v.composite_score_delta) AS m
+         floor(max(m) * 1e3 + 0.5) / 1e3 AS worker_outcome_score
+  FROM (SELECT v.profile_cluster, v.site_id, v.primary_sw, {sql_det_avg('v.composite_score_delta')} AS m
         FROM v WHERE EXISTS (SELECT 1 FROM roster r WHERE r.site_id = v.site_id AND r.worker = v.primary_sw)
         GROUP BY ALL) GROUP BY ALL
 ), sc AS (
@@ -521,9 +521,9 @@ SESSION_OUTCOME_SQL = duck_cte("cases", "sessions", "health_records", "education
          FROM an LEFT JOIN hb USING (case_id, d) LEFT JOIN hf USING (case_id, d)
          LEFT JOIN eb USING (case_id, d) LEFT JOIN ef USING (case_id, d) LEFT JOIN ic USING (case_id, d))
 SELECT s.recording_id, s.case_id, s.session_date, s.interventions_applied,
-       round((COALESCE(dh * 0.4, 0) + COALESCE(de * 0.35, 0) + COALESCE(-di * 0.25, 0))
+       floor((COALESCE(dh * 0.4, 0) + COALESCE(de * 0.35, 0) + COALESCE(-di * 0.25, 0))
              / (CASE WHEN dh IS NOT NULL THEN 0.4 ELSE 0 END + CASE WHEN de IS NOT NULL THEN 0.35 ELSE 0 END
-                + 0.25), 6) AS composite_score_delta,
+                + 0.25) * 1e6 + 0.5) / 1e6 AS composite_score_delta,
        di AS delta_incidents
 FROM s LEFT JOIN dl ON s.case_id = dl.case_id AND s.session_date = dl.d
 """
