@@ -145,3 +145,27 @@ def test_exact_quantiles_match_percentile(spark):
     for a, b in zip(got, ref):
         for i, q in enumerate(qs):
             assert abs(a[f"q{int(q * 100)}"] - b[f"r{i}"]) < 1e-12
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.skipif(not os.environ.get("CIVORA_SLOW_TESTS"), reason="slow MLlib loops; set CIVORA_SLOW_TESTS=1")
+def test_model_loops_run_on_a_small_frame(spark):
+    """M12 stacking, M25 learning curve, M30 RFECV: they run and return sane shapes."""
+    from civora.plans.models import build_pipeline, learning_curve, rfecv, stacking
+    rng = np.random.default_rng(6)
+    n = 160
+    x1, x2, x3 = rng.normal(size=n), rng.normal(size=n), rng.normal(size=n)
+    y = (x1 + 0.5 * x2 + rng.normal(scale=0.5, size=n) > 0).astype(float)
+    pdf = pd.DataFrame({"supporter_id": np.arange(n), "x1": x1, "x2": x2, "x3": x3,
+                        "seg": np.where(x3 > 0, "a", "b"), "label": y, "weight": 1.0,
+                        "fold": np.arange(n) % 3})
+    df = spark.createDataFrame(pdf)
+    num, cat = ["x1", "x2", "x3"], ["seg"]
+    meta, oof = stacking(df, {"lr": build_pipeline(num, cat, "lr", maxIter=20)}, k=3)
+    assert oof.count() == n and "oof_lr" in oof.columns
+    lc = learning_curve(build_pipeline(num, cat, "lr", maxIter=20), df, "label", k=3, fractions=(0.5, 1.0))
+    assert len(lc) == 2 and all(0 <= r["val_auc"] <= 1 for r in lc)
+    hist = rfecv(spark, df, num, cat, min_features=2, numTrees=5, maxDepth=3)
+    assert [len(h["features"]) for h in hist] == [3, 2]
