@@ -284,8 +284,7 @@ def q_incremental_rescore(spark, sf_dir):
     import uuid
 
     from civora.plans.io_queries import _rule_scores
-    from civora.sources.sinks import read_latest
-    from civora.streaming.rescore import incremental_rescore
+    from civora.streaming.rescore import incremental_rescore, rescored_table
     from civora.sources.tables import table_path
     schema = spark.read.parquet(table_path(sf_dir, "orders")).schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
@@ -302,7 +301,7 @@ def q_incremental_rescore(spark, sf_dir):
     q = incremental_rescore(spark, stream, history, feature_fn, lambda f: f, table=table)
     q.processAllAvailable()
     q.stop()
-    return read_latest(spark, table)
+    return rescored_table(spark, table)
 
 
 def _incremental_sql():

@@ -61,21 +61,28 @@ def q_trailing_incident_counts(spark, sf_dir):
 
 
 def incremental_rescore(spark: SparkSession, donations_stream: DataFrame, history: DataFrame,
-                        feature_fn, score_fn, table: str = "churn_scores"):
-    """ST1: foreachBatch -> affected keys -> semi-join history -> features -> upsert."""
-    from civora.sources.sinks import commit_snapshot, read_latest, upsert
+                        feature_fn, score_fn, table: str = "churn_scores", n_buckets: int = 64):
+    """ST1: foreachBatch -> affected keys -> semi-join history -> features -> bucketed upsert.
+
+    Each micro-batch rewrites only the hash buckets of the supporters it
+    touched (``upsert_buckets``), so its cost follows the batch size.
+    """
+    from civora.sources.sinks import upsert_buckets
+    path = scratch_path(spark, "tables", table)
 
     def handle(batch: DataFrame, epoch: int):
         keys = batch.select("supporter_id").distinct()
         affected = history.join(keys, "supporter_id", "left_semi")
-        scores = score_fn(feature_fn(affected))
-        merged = upsert(read_latest(spark, table), scores, ["supporter_id"])
-        commit_snapshot(spark, table, merged)
+        upsert_buckets(spark, path, score_fn(feature_fn(affected)), ["supporter_id"], n_buckets)
 
     return (donations_stream.writeStream.foreachBatch(handle)
             .option("checkpointLocation", scratch_path(spark, "stream", table)).start())
 
 
+def rescored_table(spark: SparkSession, table: str) -> DataFrame:
+    from civora.sources.sinks import read_buckets
+    return read_buckets(spark, scratch_path(spark, "tables", table))
+
 
 ST2_SQL = """
 WITH e AS (SELECT user_id AS case_id, ts, value FROM events WHERE event_type = 'error'),
