@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civora.session import scratch_path
 
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
+         "binary": pa.binary(), "boolean": pa.bool_()}
+
 
 def read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
     """Scan one table, projected to ``cols`` (all columns if none are named)."""
@@ -52,3 +56,11 @@ def slices(sizes, limit: int):
         total += n
     if len(sizes) > i:
         yield i, len(sizes)
+
+
+def record_batch(rows: list, ddl: str) -> pa.RecordBatch:
+    """Row tuples as an Arrow batch whose fields ``ddl`` names ("a long, b string, ...")."""
+    fields = [x.split() for x in ddl.split(",")]
+    cols = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, ARROW[t]) for c, (_, t) in zip(cols, fields)],
+                                      names=[n for n, _ in fields])

@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civora.llm import mixing, packing
+from civora.llm import fingerprints, htmltext, mixing, packing, toxicity, warc
 from civora.llm.common import read
 
 
+def op1_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_pairs(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op2_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    scored = toxicity.score(docs, model, out="score")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -22,8 +34,21 @@ def op6_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
 
 
+def op7_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op8_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
+    "op1_merkle_fingerprints": (op1_merkle_fingerprints, None),
+    "op2_toxicity_grammar": (op2_toxicity_grammar, None),
     "op5_harmonic_packing": (op5_harmonic_packing, None),
     "op6_pareto_mixing": (op6_pareto_mixing, mixing.oracle()),
+    "op7_consensus_html": (op7_consensus_html, None),
+    "op8_warc_index": (op8_warc_index, None),
 }
