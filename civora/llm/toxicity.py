@@ -6,8 +6,8 @@ carry weights: log-odds of words and word stems learned from labelled rows,
 with the longest known stem standing in for a word never seen. Four more
 transducers read the symbols and multiply weights: a target nearby raises, a
 negation just before lowers, reported or quoted speech lowers, and a threat
-counts in full only when it has a target. They are composed into one machine,
-whose transitions are built once and then looked up. A clause's score is the
+counts in full only when it has a target. They are composed into machines whose
+transitions are built once and then looked up; targets are read in both directions. A clause's score is the
 sum of its path's weights; a document's score is a logistic function, fitted on
 labelled rows the lexicon has not seen, of its clauses' scores.
 """
@@ -100,13 +100,13 @@ class Machine:
             arc = self.arcs[state, symbol] = (tuple(s for s, _ in after), math.prod(f for _, f in after))
         return arc
 
-    def run(self, symbols: list[str], weights: list[float]) -> float:
-        """Total weight of the path that reads the symbols."""
-        state, total = self.start, 0.0
-        for s, w in zip(symbols, weights):
+    def run(self, symbols: list[str]) -> list[float]:
+        """The factor on each symbol of the path that reads them."""
+        state, out = self.start, []
+        for s in symbols:
             state, factor = self.step(state, s)
-            total += w * factor
-        return total
+            out.append(factor)
+        return out
 
 
 @dataclass
@@ -121,7 +121,8 @@ class Model:
         self.weights = seeds | self.lexicon
         self.heads = {w[:3] for w in self.weights}
         self.memo: dict[str, float] = {}
-        self.machine = Machine(_negation, _reported, _target, _threat)
+        self.frame = Machine(_negation, _reported)
+        self.aim = Machine(_target, _threat)  # read in both directions: a target may follow
 
     def weight(self, word: str) -> float:
         """Weight of the word, else of its longest known stem, else 0."""
@@ -147,6 +148,11 @@ class Model:
             return ("H" if word in THREAT else "I"), w
         return "O", 0.0
 
+    def clause(self, symbols: list[str], weights: list[float]) -> float:
+        """Weight of a clause: each hit times its frame and the better of its two aims."""
+        before, after = self.aim.run(symbols), self.aim.run(symbols[::-1])[::-1]
+        return sum(w * f * max(x, y) for w, f, x, y in zip(weights, self.frame.run(symbols), before, after))
+
     def clauses(self, text: str) -> list[tuple[str, float]]:
         """Clauses with a matched pattern and their scores."""
         out = []
@@ -154,7 +160,7 @@ class Model:
             words = _TOKEN.findall(clause)
             if any(w[:3] in self.heads and self.weight(w) > 0 for w in words):
                 symbols, weights = zip(*map(self._symbol, words))
-                if (score := self.machine.run(symbols, weights)) > 0:
+                if (score := self.clause(symbols, weights)) > 0:
                     out.append((clause.strip(), score))
         return out
 

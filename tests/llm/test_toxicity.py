@@ -16,20 +16,20 @@ def test_grammar():
     assert s("I will kill you") > s("I will kill time")
     assert s("idiot. idiot") > s("idiot") and m.score("You idiot! Pathetic scum, you worthless loser!") > 0.5
     assert m.score(None) == m.score("") < 0.5
-    assert len(m.machine.arcs) < 500
+    assert len(m.frame.arcs) + len(m.aim.arcs) < 500
 
 
 def test_machine_is_the_product_of_its_parts():
     m = X.Machine(X._negation, X._reported, X._target, X._threat)
     symbols = list("TNIORIQHQIHTOOOOOIH")
-    states, total = [0] * 4, 0.0
+    states, want = [0] * 4, []
     for s in symbols:
         f = 1.0
         for k, part in enumerate(m.parts):
             states[k], x = part(states[k], s)
             f *= x
-        total += f
-    assert m.run(symbols, [1.0] * len(symbols)) == pytest.approx(total)
+        want.append(f)
+    assert m.run(symbols) == pytest.approx(want)
 
 
 def tables(spark):
