@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civora.llm import fingerprints, htmltext, mixing, packing, toxicity, warc
+from civora.llm import fingerprints, htmltext, mixing, packing, probminhash, suffixes, toxicity, warc
 from civora.llm.common import read
 
 
@@ -21,6 +21,10 @@ def op2_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(read(spark, sf_dir, "documents", "doc_id", "text")).drop("spans")
+
+
 def op5_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -43,12 +47,18 @@ def op8_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text")).drop("key")
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
     "op1_merkle_fingerprints": (op1_merkle_fingerprints, None),
     "op2_toxicity_grammar": (op2_toxicity_grammar, None),
+    "op4_suffix_radix": (op4_suffix_radix, None),
     "op5_harmonic_packing": (op5_harmonic_packing, None),
     "op6_pareto_mixing": (op6_pareto_mixing, mixing.oracle()),
     "op7_consensus_html": (op7_consensus_html, None),
     "op8_warc_index": (op8_warc_index, None),
+    "op10_probminhash": (op10_probminhash, None),
 }

@@ -8,11 +8,28 @@ stage's documents. All stages but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from civora.llm import mixing, packing
+from civora.llm import mixing, packing, probminhash, suffixes, toxicity
 from civora.llm.common import read, shared_table
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar, fitted on the labels, does not reject."""
+    return toxicity.reject(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return probminhash.deduplicate(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that occur more than once; n_chars follows the text."""
+    cut = suffixes.remove(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.sample(docs)
@@ -24,6 +41,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("toxicity", reject_toxic),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("suffix-array dedup", cut_repeats),
     ("mixing sources to target weights", mix_sources),
     ("packing", pack_sequences),
 ]
