@@ -8,13 +8,14 @@ sets. Arrivals are drawn in order of time and a shingle stops as soon as its
 next arrival comes after the latest first arrival of all positions.
 
 Candidates: positions are cut into bands; texts that share a band form a
-bucket. No bucket is expanded into pairs. Its smallest member is its lead, and
-every member is verified against the lead on its shingles. Members that fail
-may still be near to other members: 1 - similarity is a metric for the plain
-and for the probability Jaccard index, so by the triangle inequality only
-members whose distances to the lead differ by at most 1 - threshold can be.
-Those pairs, unless components already join them, are verified as well; no
-candidate pair of a bucket is left undecided.
+bucket. A bucket's smallest member is its lead, and every member is verified
+against the lead on its shingles. Verified links are united to components, and
+in rounds one member of every other component of a bucket is verified against
+one of its largest component, drawn anew in each round, as long as that joins
+components. What remains is decided exactly: in every bucket that still holds
+several components, blocks of members outside the largest one are compared
+with blocks of all members by matrix products of their shingle sets. Only links
+leave a block; no pair is emitted to be tested, and no candidate is left out.
 
 Links are united to components; texts that are equal are one node throughout.
 """
@@ -22,21 +23,27 @@ Links are united to components; texts that are equal are one node throughout.
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civora.llm.common import partitions, shared_table, slices, text_key
+from civora.llm.common import partitions, shared_path, shared_table, slices, text_key
 from civora.llm.graph import components
 
 WORDS = 5
 THRESHOLD = 0.8
-POSITIONS = 128
-BANDS = 32
+#: 42 bands of 6: a pair at the threshold shares none with probability 3e-6, one at 0.3 shares one with 0.03.
+POSITIONS = 252
+BANDS = 42
 #: Members verified by one task against one lead; a lead with more is split.
-GROUP = 2000
+GROUP = 500
+#: Members of a block that is compared as a whole.
+BLOCK = 400
+#: Rounds that join components before the remaining pairs are verified one by one.
+ROUNDS = 6
 
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BUFFER = 1 << 21
@@ -186,53 +193,68 @@ def _bands(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "key binary, bands array<long>").dropDuplicates(["key"])
 
 
-def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(key, lead, plain, prob) of every (key, lead) pair, each once.
+def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Table (key, data) of the texts ``keys``, bucketed by key in the shared folder.
 
-    A lead's shingles go once to every group of its members; the texts are
-    joined once by content key.
+    data: the sorted 32-bit hashes of all shingles, repeats included. Texts are
+    shuffled once; every verification reads its buckets where they lie.
     """
     spark = docs.sparkSession
+
+    def run(batches):
+        shingler = Shingler()
+        for b in batches:
+            data = [np.sort((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in shingler(b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, pa.binary())], names=["key", "data"])
+
+    n = partitions(spark)
+    name = f"civora_shingles_{uuid.uuid4().hex}"
+    sets = docs.join(keys, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(run, "key binary, data binary")
+    sets.repartition(n, "key").write.bucketBy(n, "key").option("path", shared_path(spark, "shingles")).saveAsTable(name)
+    return spark.table(name)
+
+
+_COMPARE = "lead binary, g int, role int, key binary, data binary"
+
+
+def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, lead, plain, prob) of every (key, lead) pair, each once.
+
+    A lead's shingles go once to every group of its members.
+    """
     groups = pairs.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("n"))
-    dealt = (pairs.join(groups, "lead")
-             .select(F.col("key"), F.struct(F.col("lead").alias("lead"), F.lit(1).alias("role"),
-                                            F.pmod(F.xxhash64("key"), F.col("n")).cast("int").alias("lo"),
-                                            F.lit(0).alias("hi")).alias("task")))
+    member = (pairs.join(groups, "lead")
+              .select("key", F.struct("lead", F.lit(1).alias("role"), F.pmod(F.xxhash64("key"), F.col("n")).cast("int").alias("lo"),
+                                      F.lit(0).alias("hi")).alias("task")))
     own = groups.select(F.col("lead").alias("key"), F.struct("lead", F.lit(0).alias("role"), F.lit(0).alias("lo"),
                                                              (F.col("n") - 1).alias("hi")).alias("task"))
     # a text has one task for each of its leads and one as a lead
-    tasks = shared_table(dealt.unionByName(own).groupBy("key").agg(F.collect_list("task").alias("tasks")), "near-tasks")
-    texts = (docs.join(tasks, "key").select("key", "text", "tasks"))
+    tasks = shared_table(member.unionByName(own).groupBy("key").agg(F.collect_list("task").alias("tasks")), "near-tasks")
 
-    def sets(batches):
-        shingler = Shingler()
+    def table(rows):
+        lead, g, role, key, data = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(lead, pa.binary()), pa.array(g, pa.int32()), pa.array(role, pa.int32()),
+                                           pa.array(key, pa.binary()), pa.array(data, pa.binary())],
+                                          names=["lead", "g", "role", "key", "data"])
+
+    def deal(batches):
         for b in batches:
             rows = []
-            for key, s, ts in zip(b.column(0).to_pylist(), shingler(b.column(1).to_pylist()), b.column(2).to_pylist()):
-                data = np.sort((s >> np.uint64(32)).astype(np.uint32)).tobytes()
+            for key, data, ts in zip(*(b.column(i).to_pylist() for i in range(3))):
                 for t in ts:
                     for g in range(t["lo"], max(t["lo"], t["hi"]) + 1):
                         rows.append((t["lead"], g, t["role"], key, data))
-                    if len(rows) >= 500:
-                        yield _table(rows)
-                        rows = []
+                        if len(rows) >= 500:
+                            yield table(rows)
+                            rows = []
             if rows:
-                yield _table(rows)
-
-    def _table(rows):
-        lead, g, role, key, data = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(lead, pa.binary()), pa.array(g, pa.int32()), pa.array(role, pa.int32()),
-                                           pa.array(key, pa.binary()), pa.array(data, pa.binary())],
-                                          names=["lead", "g", "role", "key", "data"])
+                yield table(rows)
 
     def compare(batches):
-        lead, own_set, last = None, None, None
+        lead, own_set = None, None
         for b in batches:
             rows = []
             for at, g, role, key, data in zip(*(b.column(i).to_pylist() for i in range(5))):
-                if (at, g, role, key) == last:
-                    continue  # copies of one text
-                last = (at, g, role, key)
                 hashes, counts = np.unique(np.frombuffer(data, np.uint32), return_counts=True)
                 if role == 0:
                     lead, own_set = (at, g), (hashes, counts.astype(float))
@@ -244,11 +266,111 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                                                   pa.array(plain, pa.float64()), pa.array(prob, pa.float64())],
                                                  names=["key", "lead", "plain", "prob"])
 
-    return (texts.mapInArrow(sets, "lead binary, g int, role int, key binary, data binary")
-            .repartition(partitions(spark), "lead", "g").sortWithinPartitions("lead", "g", "role", "key")
+    return (sets.join(tasks.hint("shuffle_hash"), "key").select("key", "data", "tasks").mapInArrow(deal, _COMPARE)
+            .repartition(partitions(sets.sparkSession), "lead", "g").sortWithinPartitions("lead", "g", "role", "key")
             .mapInArrow(compare, "key binary, lead binary, plain double, prob double"))
 
 
+def _open_buckets(placed: DataFrame, parts: DataFrame) -> DataFrame:
+    """(band, key, part) of the members of buckets that hold more than one component."""
+    members = (placed.select("band", "key").join(parts, F.col("key") == F.col("node"), "left")
+               .select("band", "key", F.coalesce("component", "key").alias("part")))
+    mixed = members.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
+    return members.join(mixed.select("band"), "band", "left_semi")
+
+
+def _joining_pairs(members: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
+    """For every open bucket: one member of each component with one of its largest component."""
+    size = parts.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    drawn = members.groupBy("band", "part").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key")).alias("x"))
+    drawn = (drawn.join(size, F.col("part") == F.col("component"), "left")
+             .select("band", "part", F.coalesce("size", F.lit(1)).alias("size"), F.col("x.key").alias("key")))
+    lead = drawn.groupBy("band").agg(F.max(F.struct("size", "part", F.col("key").alias("lead"))).alias("x"))
+    return (drawn.join(lead, "band").where(F.col("part") != F.col("x.part"))
+            .select("key", F.col("x.lead").alias("lead")).distinct())
+
+
+def _matrices(sets, vocabulary):
+    """0/1 and normalised weight rows of weighted sets over a range of sorted hashes."""
+    ones = np.zeros((len(sets), len(vocabulary)), np.float32)
+    mass = np.zeros((len(sets), len(vocabulary)), np.float32)
+    for i, (hashes, counts) in enumerate(sets):
+        a, b = np.searchsorted(hashes, vocabulary[0]), np.searchsorted(hashes, vocabulary[-1], side="right")
+        at = np.searchsorted(vocabulary, hashes[a:b])
+        ones[i, at] = 1
+        mass[i, at] = counts[a:b] / counts.sum()
+    return ones, mass
+
+
+def block_links(xs, ys, threshold: float) -> list[tuple[int, int]]:
+    """Index pairs of weighted sets whose plain or probability Jaccard index reaches the threshold.
+
+    Plain indices come from one matrix product. The probability index is at
+    most either set's mass on the other's support, which two more products
+    give; it is worked out for the pairs that pass.
+    """
+    vocabulary = np.unique(np.concatenate([s[0] for s in (*xs, *ys)]))
+    common, x_mass, y_mass = (np.zeros((len(xs), len(ys))) for _ in range(3))
+    for c in range(0, len(vocabulary), 8192):
+        part = vocabulary[c:c + 8192]
+        (x1, xm), (y1, ym) = _matrices(xs, part), _matrices(ys, part)
+        common += x1 @ y1.T
+        x_mass += xm @ y1.T
+        y_mass += x1 @ ym.T
+    nx, ny = (np.array([len(s[0]) for s in t]) for t in (xs, ys))
+    plain = common / (nx[:, None] + ny[None, :] - common)
+    flat_x, flat_y = (np.array([s[1].max() == s[1].min() for s in t]) for t in (xs, ys))
+    uneven = ~(flat_x[:, None] & flat_y[None, :])
+    maybe = (plain < threshold) & uneven & (np.minimum(x_mass, y_mass) >= threshold - 1e-4)
+    out = list(zip(*np.nonzero(plain >= threshold)))
+    return out + [(i, j) for i, j in zip(*np.nonzero(maybe)) if similarities(xs[i], ys[j])[1] >= threshold]
+
+
+def _block_links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) links between different components in the open buckets (band, key, part)."""
+    counts = members.groupBy("band", "part").agg(F.count(F.lit(1)).alias("n"))
+    shape = (counts.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("x"))
+             .select("band", F.col("x.part").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("ny"),
+                     F.ceil((F.col("n") - F.col("x.n")) / BLOCK).cast("int").alias("nx")))
+    h = F.xxhash64("key")
+    steps = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    at = members.join(shape, "band")
+    y = F.transform(steps("nx"), lambda i: F.struct(i.alias("i"), F.pmod(h, F.col("ny")).cast("int").alias("j"), F.lit(1).alias("role")))
+    x = F.transform(steps("ny"), lambda j: F.struct(F.pmod(h, F.col("nx")).cast("int").alias("i"), j.alias("j"), F.lit(0).alias("role")))
+    places = F.when(F.col("part") == F.col("main"), y).otherwise(F.concat(y, x))
+    tasks = (at.select("key", "part", "band", F.explode(places).alias("p"))
+             .groupBy("key").agg(F.first("part").alias("part"), F.collect_list(F.struct("band", "p.i", "p.j", "p.role")).alias("tasks")))
+    tasks = shared_table(tasks, "near-blocks-dealt")
+    rows = (sets.join(tasks.hint("shuffle_hash"), "key").select("key", "part", "data", F.explode("tasks").alias("t"))
+            .select("t.band", "t.i", "t.j", "t.role", "key", "part", "data"))
+
+    def compare(batches):
+        now, xs, ys = None, [], []
+
+        def links():
+            if not xs or not ys:
+                return []
+            keyed = lambda t: [(np.unique(np.frombuffer(d, np.uint32), return_counts=True)) for _, _, d in t]
+            real = lambda t: [(a, b.astype(float)) for a, b in keyed(t)]
+            return [(xs[i][0], ys[j][0]) for i, j in block_links(real(xs), real(ys), threshold) if xs[i][1] != ys[j][1]]
+
+        def table(found):
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+        for b in batches:
+            for band, i, j, role, key, part, data in zip(*(b.column(c).to_pylist() for c in range(7))):
+                if (band, i, j) != now:
+                    if found := links():
+                        yield table(found)
+                    now, xs, ys = (band, i, j), [], []
+                (ys if role else xs).append((key, part, data))
+        if found := links():
+            yield table(found)
+
+    return (rows.repartition(partitions(sets.sparkSession), "band", "i", "j").sortWithinPartitions("band", "i", "j")
+            .mapInArrow(compare, "a binary, b binary")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, key (content), class_id, class_size, kept.
@@ -268,28 +390,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     rows = shared_table(_bands(docs.select("key", "text")), "near-bands").select("key", F.explode("bands").alias("band"))
     leads = rows.groupBy("band").agg(F.min("key").alias("lead"), F.max("key").alias("most")).where("lead <> most")
     placed = shared_table(rows.join(leads.drop("most"), "band"), "near-buckets")
-    pairs = placed.where("key <> lead").select("key", "lead").distinct()
+    sets = _shingle_sets(docs.select("key", "text"), placed.select("key").distinct())
     near = (F.col("plain") >= threshold) | (F.col("prob") >= threshold)
-    first = shared_table(_verify(pairs, docs.select("key", "text")), "near-verified")
-    links = first.where(near).select(F.col("key").alias("a"), F.col("lead").alias("b"))
-    parts = shared_table(components(links), "near-parts")
-
-    # members that failed against a lead, and the members of their buckets they may be near to
-    known = (placed.join(first, ["key", "lead"], "left")
-             .select("band", "key", F.coalesce("plain", F.lit(1.0)).alias("plain"), F.coalesce("prob", F.lit(1.0)).alias("prob"))
-             .join(parts, F.col("key") == F.col("node"), "left")
-             .select("band", "key", "plain", "prob", F.coalesce("component", "key").alias("part")))
-    x, y = known.where(~near).alias("x"), known.alias("y")
-    reach = 1 - threshold + 1e-9
-    more = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.part") != F.col("y.part"))
-                   & ((F.abs(F.col("x.plain") - F.col("y.plain")) <= reach) | (F.abs(F.col("x.prob") - F.col("y.prob")) <= reach))
-                   & ((F.col("y.plain") < 1) | (F.col("y.prob") < 1))  # the lead itself is done
-                   & ((F.col("y.plain") >= threshold) | (F.col("y.prob") >= threshold) | (F.col("x.key") < F.col("y.key"))))
-            .select(F.col("x.key").alias("key"), F.col("y.key").alias("lead")).distinct())
-    more = shared_table(more, "near-more")
-    second = shared_table(_verify(more, docs.select("key", "text")), "near-verified-more")
-    links = links.unionByName(second.where(near).select(F.col("key").alias("a"), F.col("lead").alias("b")))
-    parts = shared_table(components(links), "near-components")
+    links = lambda t: t.where(near).select(F.col("key").alias("a"), F.col("lead").alias("b"))
+    first = shared_table(_verify(placed.where("key <> lead").select("key", "lead").distinct(), sets), "near-verified")
+    parts = shared_table(components(links(first)), "near-parts")
+    rays = lambda t: t.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    for turn in range(ROUNDS):
+        pairs = shared_table(_joining_pairs(_open_buckets(placed, parts), parts, turn), "near-joining")
+        found = shared_table(links(_verify(pairs, sets)), "near-joined")
+        parts = shared_table(components(rays(parts).unionByName(found)), "near-parts")
+        if 10 * found.count() < pairs.count():
+            break  # what is left seldom joins: it is verified pair by pair below
+
+    second = shared_table(_block_links(_open_buckets(placed, parts), sets, threshold), "near-blocks")
+    parts = shared_table(components(rays(parts).unionByName(second)), "near-components")
 
     own = (members.join(parts, F.col("key") == F.col("node"), "left")
            .select("id", "key", "words", F.coalesce("component", "key").alias("part")))

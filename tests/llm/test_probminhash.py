@@ -33,6 +33,14 @@ def test_indices_and_estimates():
         assert abs(agree - prob) < 0.05
 
 
+def test_block_links_match_single_pairs():
+    rnd = random.Random(7)
+    base = [rnd.choice("abcdefghij") + rnd.choice("klmnop") for _ in range(60)]
+    sets = [weighted(" ".join((w if rnd.random() > 0.02 else "zz" for w in base * rnd.choice([1, 1, 2, 3])))) for _ in range(30)]
+    want = {(i, j) for i in range(12) for j in range(18) if max(P.similarities(sets[i], sets[12 + j])) >= 0.8}
+    assert set(P.block_links(sets[:12], sets[12:], 0.8)) == want and 0 < len(want) < 200
+
+
 def test_shingler_cuts_texts_and_words():
     texts = ["One, two; THREE four five six", "one two three four five six", "", "...", "one two", "Zwölf  größere\nWörter",
              "one two three four five six"]
@@ -97,6 +105,7 @@ def brute(data):
 
 def test_classes_match_brute_force(spark, monkeypatch):
     monkeypatch.setattr(P, "GROUP", 3)
+    monkeypatch.setattr(P, "BLOCK", 2)
     data = corpus()
     docs = spark.createDataFrame([(*d, b"own") for d in data], "doc_id long, text string, key binary").repartition(3)
     rows = P.near_duplicates(docs).collect()
