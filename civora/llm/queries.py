@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civora.llm import fingerprints, htmltext, mixing, packing, probminhash, suffixes, toxicity, warc
+from civora.llm import (cotraining, fingerprints, hnsw, htmltext, mixing, packing, probminhash, suffixes, toxicity,
+                        warc)
 from civora.llm.common import read
 
 
@@ -21,6 +22,14 @@ def op2_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    model = cotraining.train(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return cotraining.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "content_score", "metadata_score", "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.report(read(spark, sf_dir, "documents", "doc_id", "text")).drop("spans")
 
@@ -47,6 +56,10 @@ def op8_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_hnsw_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_vectors(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text")).drop("key")
 
@@ -55,10 +68,12 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_merkle_fingerprints": (op1_merkle_fingerprints, None),
     "op2_toxicity_grammar": (op2_toxicity_grammar, None),
+    "op3_cotrained_quality": (op3_cotrained_quality, None),
     "op4_suffix_radix": (op4_suffix_radix, None),
     "op5_harmonic_packing": (op5_harmonic_packing, None),
     "op6_pareto_mixing": (op6_pareto_mixing, mixing.oracle()),
     "op7_consensus_html": (op7_consensus_html, None),
     "op8_warc_index": (op8_warc_index, None),
+    "op9_hnsw_near_dedup": (op9_hnsw_near_dedup, None),
     "op10_probminhash": (op10_probminhash, None),
 }
