@@ -15,6 +15,7 @@ import time
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from civora.sources.tables import read_if_exists
 from civora.session import scratch_path
 
 META_SCHEMA = ("pipeline string, version string, trained_at timestamp, n long, features string, "
@@ -54,11 +55,10 @@ def set_live(spark: SparkSession, pipeline: str, version: str, reason: str = "ro
 
 def live_version(spark: SparkSession, pipeline: str, root: str | None = None) -> str | None:
     root = _root(spark, root)
-    try:
-        p = spark.read.parquet(f"{root}/_pointers").where(F.col("pipeline") == pipeline)
-    except Exception:  # noqa: BLE001 - no pointer yet
+    p = read_if_exists(spark, f"{root}/_pointers")
+    if p is None:  # no pointer yet
         return None
-    row = p.orderBy(F.col("set_at").desc(), F.col("version").desc()).select("version").first()
+    row = p.where(F.col("pipeline") == pipeline).orderBy(F.col("set_at").desc(), F.col("version").desc()).select("version").first()
     return row["version"] if row else None
 
 

@@ -13,6 +13,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civora.sources.tables import read_if_exists
 from civora.session import scratch_path
 
 
@@ -59,11 +60,10 @@ def commit_snapshot(spark: SparkSession, table: str, df: DataFrame,
 
 def read_latest(spark: SparkSession, table: str, root: str | None = None) -> DataFrame | None:
     root = root or scratch_path(spark, "tables")
-    try:
-        ptr = spark.read.parquet(f"{root}/_pointers").where(F.col("table") == table)
-    except Exception:  # noqa: BLE001 - no pointer table yet
+    ptr = read_if_exists(spark, f"{root}/_pointers")
+    if ptr is None:  # no pointer table yet
         return None
-    row = ptr.orderBy(F.col("version").desc()).select("path").first()
+    row = ptr.where(F.col("table") == table).orderBy(F.col("version").desc()).select("path").first()
     return spark.read.parquet(row["path"]) if row else None
 
 
@@ -119,10 +119,9 @@ def upsert_buckets(spark: SparkSession, path: str, new: DataFrame, key: list[str
     bucket = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(n_buckets)).cast("int")
     nb = new.withColumn("_bucket", bucket)
     touched = nb.select("_bucket").distinct()
-    try:
-        old = spark.read.schema(nb.schema).parquet(path).join(touched, "_bucket", "left_semi")
-    except Exception:  # noqa: BLE001 - first batch: no table yet
-        old = None
+    old = read_if_exists(spark, path, nb.schema)  # None: first batch, no table yet
+    if old is not None:
+        old = old.join(touched, "_bucket", "left_semi")
     merged = materialize(upsert(old, nb, key + ["_bucket"]) if old is not None else nb)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("_bucket").parquet(path))

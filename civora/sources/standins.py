@@ -309,7 +309,7 @@ def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
                 .join(_scan(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")))
         return base.selectExpr(*exprs)
     if name == "cases":
-        users = _scan(spark, sf_dir, "events").select(F.col("user_id"))
+        users = _scan(spark, sf_dir, "events").select(F.col("user_id")).distinct()
         base = _scan(spark, sf_dir, "customer").join(
             users, F.col("c_custkey") == F.col("user_id"), "left_semi")
         return base.selectExpr(*exprs)

@@ -7,6 +7,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # The driver's tables and their columns (fixed schema, as loaded).
@@ -38,3 +39,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     df = spark.read.parquet(table_path(sf_dir, name))
     cols = columns if columns is not None else TABLES.get(name)
     return df.select(*cols) if cols else df
+
+
+def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if nothing is there. Other errors are raised."""
+    try:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
