@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import pyarrow as pa
@@ -42,6 +43,24 @@ def text_key(text: str | Column = "text") -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))))
 
 
+def tidy(run):
+    """``run`` as an Arrow task that hands freed memory back to the system at its end.
+
+    Python workers are reused: without this a worker keeps the peak of one
+    stage while it runs the next.
+    """
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+                trim(0)
+
+    return task
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

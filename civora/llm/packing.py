@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civora.llm.common import tidy
+
 CAPACITY = 2048
 EOS_ID = 1
 SLACK = 1 / 64
@@ -36,7 +37,7 @@ TOKENIZER = "word_bpe_49k.json"
 # as this pattern finds them. Any other text goes to the tokenizer whole.
 _LATIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]*")
 _PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^ \t\n\ra-z0-9ß-öø-ɏ]+")
-_CACHE_WORDS = 600_000
+_CACHE_WORDS = 200_000
 _BATCH_ROWS = 2_000
 
 
@@ -89,12 +90,6 @@ class Encoder:
         return [self._whole(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts)]
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder per Python worker: later tasks find the words of earlier ones."""
-    return Encoder(path)
-
-
 def cuts(r: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tuple[int, int]]:
     """(class, length) pieces of a remainder of r < capacity tokens, in order."""
     out = []
@@ -185,7 +180,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAP
     end = eos_id.to_bytes(4, "little")
 
     def run(batches):
-        enc, packer = encoder(path), Packer(capacity, slack)
+        enc, packer = Encoder(path), Packer(capacity, slack)
         base = TaskContext.get().partitionId() << 33
         kind = None
 
@@ -213,4 +208,4 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAP
         if rows:
             yield table(rows)
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(tidy(run), schema)

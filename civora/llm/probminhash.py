@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civora.llm.common import partitions, shared_path, shared_table, slices, text_key
+from civora.llm.common import partitions, shared_path, shared_table, slices, text_key, tidy
 from civora.llm.graph import components
 
 WORDS = 5
@@ -190,7 +190,7 @@ def _bands(docs: DataFrame) -> DataFrame:
                     [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))],
                     names=["key", "bands"])
 
-    return docs.mapInArrow(run, "key binary, bands array<long>").dropDuplicates(["key"])
+    return docs.mapInArrow(tidy(run), "key binary, bands array<long>").dropDuplicates(["key"])
 
 
 def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -209,7 +209,7 @@ def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
     n = partitions(spark)
     name = f"civora_shingles_{uuid.uuid4().hex}"
-    sets = docs.join(keys, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(run, "key binary, data binary")
+    sets = docs.join(keys, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(tidy(run), "key binary, data binary")
     sets.repartition(n, "key").write.bucketBy(n, "key").option("path", shared_path(spark, "shingles")).saveAsTable(name)
     return spark.table(name)
 
@@ -266,9 +266,9 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                                                   pa.array(plain, pa.float64()), pa.array(prob, pa.float64())],
                                                  names=["key", "lead", "plain", "prob"])
 
-    return (sets.join(tasks.hint("shuffle_hash"), "key").select("key", "data", "tasks").mapInArrow(deal, _COMPARE)
+    return (sets.join(tasks.hint("shuffle_hash"), "key").select("key", "data", "tasks").mapInArrow(tidy(deal), _COMPARE)
             .repartition(partitions(sets.sparkSession), "lead", "g").sortWithinPartitions("lead", "g", "role", "key")
-            .mapInArrow(compare, "key binary, lead binary, plain double, prob double"))
+            .mapInArrow(tidy(compare), "key binary, lead binary, plain double, prob double"))
 
 
 def _open_buckets(placed: DataFrame, parts: DataFrame) -> DataFrame:
@@ -368,7 +368,7 @@ def _block_links(members: DataFrame, sets: DataFrame, threshold: float) -> DataF
             yield table(found)
 
     return (rows.repartition(partitions(sets.sparkSession), "band", "i", "j").sortWithinPartitions("band", "i", "j")
-            .mapInArrow(compare, "a binary, b binary")).distinct()
+            .mapInArrow(tidy(compare), "a binary, b binary")).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civora.llm.common import partitions, shared_path, shared_table, slices, text_key
+from civora.llm.common import partitions, shared_path, shared_table, slices, text_key, tidy
 from civora.llm.probminhash import mix64
 
 LENGTH = 200
@@ -170,7 +170,7 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(t) for t in texts], pa.int64()),
                                               pa.array([pack(t) for t in texts], pa.binary())], names=["key", "n", "data"])
 
-    packed = docs.select("key", "text").mapInArrow(run, "key binary, n long, data binary")
+    packed = docs.select("key", "text").mapInArrow(tidy(run), "key binary, n long, data binary")
     one = packed.groupBy("key").agg(F.first("n").alias("n"), F.first("data").alias("data"), F.count(F.lit(1)).alias("copies"))
     name = f"civora_texts_{uuid.uuid4().hex}"
     n = partitions(spark)
@@ -198,7 +198,7 @@ def _first_digit(texts: DataFrame) -> DataFrame:
                     start = start + np.array([c for _, c in pieces[x:y]])[piece]
                     yield _digit_batch(digit, content, keys.take(pa.array(rows)), code(start, count, offset))
 
-    return texts.where(F.col("n") >= LENGTH).select("key", "n", "data").mapInArrow(run, _DIGITS)
+    return texts.where(F.col("n") >= LENGTH).select("key", "n", "data").mapInArrow(tidy(run), _DIGITS)
 
 
 def _next_digit(texts: DataFrame, mixed: DataFrame, digits) -> DataFrame:
@@ -222,7 +222,7 @@ def _next_digit(texts: DataFrame, mixed: DataFrame, digits) -> DataFrame:
                     e = s + 50_000
                     yield _digit_batch(digit[s:e], content[s:e], b.column(0).take(pa.array(rows[s:e])), at[s:e])
 
-    return texts.join(todo.hint("shuffle_hash"), "key").select("key", "n", "data", "ats").mapInArrow(run, _DIGITS)
+    return texts.join(todo.hint("shuffle_hash"), "key").select("key", "n", "data", "ats").mapInArrow(tidy(run), _DIGITS)
 
 
 def _pass(rows: DataFrame, full: bool, name: str) -> DataFrame:
@@ -305,7 +305,7 @@ def repeats(docs: DataFrame, characters: bool = False) -> DataFrame:
                     names=["key", "n_bytes", "n_removed", "spans", "kept"])
 
     return (texts.join(found.hint("shuffle_hash"), "key", "left").select("key", "n", "data", "copies", "ats")
-            .mapInArrow(run, _KEPT))
+            .mapInArrow(tidy(run), _KEPT))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

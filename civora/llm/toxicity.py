@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civora.llm.common import record_batch, shared_table
+from civora.llm.common import record_batch, shared_table, tidy
 
 #: Bound of the labelled rows the model is fitted on.
 MAX_LABELS = 12_000
@@ -228,7 +228,7 @@ def learn_lexicon(rows: DataFrame, bound: int = MAX_LEXICON) -> dict[str, float]
         for i in range(0, len(keys), 10_000):
             yield record_batch([(k, toxic[k], clean[k]) for k in keys[i:i + 10_000]], "word string, t long, c long")
 
-    counts = (rows.select("text", "y").mapInArrow(count, "word string, t long, c long")
+    counts = (rows.select("text", "y").mapInArrow(tidy(count), "word string, t long, c long")
               .groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where("t >= 3 or word = ''"))
     counts = shared_table(counts, "toxic-words")
     total = counts.where("word = ''").first()
@@ -262,7 +262,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
                                _FEATURES)
 
     data = np.array([tuple(r) for r in rows.where("fold = 2").select("text", "y")
-                     .mapInArrow(features, _FEATURES).collect()], float)  # at most ``bound`` rows
+                     .mapInArrow(tidy(features), _FEATURES).collect()], float)  # at most ``bound`` rows
     if len(data) and 0 < data[:, 0].sum() < len(data):
         x = np.column_stack([np.ones(len(data)), data[:, 1:]])
         return Model(model.lexicon, tuple(float(b) for b in logistic(x, data[:, 0])))
@@ -289,7 +289,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "tox
             scores = pa.array([own.score(t.as_py()) for t in b.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, scores], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
