@@ -158,13 +158,15 @@ def ols(df: DataFrame, y: str, xs: list[str], absorb: str | None = None,
     """OLS with classical or HC3 covariance, Breusch-Pagan, Durbin-Watson-free summary.
 
     Returns a dict with a coefficient table (list of dicts) and fit statistics.
+    With ``absorb``, leverage, R^2, Breusch-Pagan and VIF are those of the design
+    with one dummy per group; ``cond_no`` is that of the demeaned columns.
     ``robust='auto'`` switches to HC3 when the Breusch-Pagan p-value < .05
     (the reference's rule); 'hc3' / 'classical' force one.
     """
     data = df.select(y, *xs, *([absorb] if absorb else [])).dropna()
-    n_groups = 0
+    # spread of the raw columns: total sum of squares and variance inflation use it
+    spread = data.agg(*[F.var_pop(c).alias(f"v_{i}") for i, c in enumerate([y, *xs])]).first()
     if absorb:
-        n_groups = data.select(absorb).distinct().count()
         data = demean_within(data, absorb, [y, *xs])
         intercept = False
     names = (["const"] if intercept else []) + list(xs)
@@ -185,19 +187,12 @@ def ols(df: DataFrame, y: str, xs: list[str], absorb: str | None = None,
     inv = np.linalg.pinv(XtXr)
     beta = inv @ Xty[idx]
     sse = float(yty - 2 * beta @ Xty[idx] + beta @ XtXr @ beta)
-    dof = n - len(idx) - n_groups
-    sigma2 = sse / dof if dof > 0 else float("nan")
-    # total sum of squares of the (demeaned / raw) outcome for R^2
-    sums = data.agg(F.sum(y).alias("s"), F.sum(F.col(y) * F.col(y)).alias("ss")).first()
-    sst = (sums["ss"] - (sums["s"] ** 2) / n) if intercept or absorb else sums["ss"]
-    r2 = 1 - sse / sst if sst else float("nan")
-    p_eff = len(idx) - (1 if intercept else 0) + max(n_groups - 1, 0)
-    adj = 1 - (1 - r2) * (n - 1) / (n - p_eff - 1) if n - p_eff - 1 > 0 else float("nan")
     # second pass: residuals, leverage -> HC3 meat and Breusch-Pagan auxiliary sums
     bc = {names[i]: float(b) for i, b in zip(idx, beta)}
     resid = F.col(y) - sum((F.col(c) * F.lit(b) for c, b in bc.items()), F.lit(0.0))
     lev = sum((F.col(names[a]) * F.col(names[b]) * F.lit(float(inv[ia, ib]))
-               for ia, a in enumerate(idx) for ib, b in enumerate(idx)), F.lit(0.0))
+               for ia, a in enumerate(idx) for ib, b in enumerate(idx)),
+              1 / F.col("_g_n") if absorb else F.lit(0.0))
     d2 = data.withColumn("_e", resid).withColumn("_h", lev) \
              .withColumn("_w", F.col("_e") ** 2 / (1 - F.least(F.col("_h"), F.lit(0.999999))) ** 2)
     aggs = [F.sum(F.col("_e") ** 2).alias("se2"), F.sum(F.col("_e") ** 4).alias("se4")]
@@ -206,19 +201,32 @@ def ols(df: DataFrame, y: str, xs: list[str], absorb: str | None = None,
         for ib, b in enumerate(idx):
             if ib >= ia:
                 aggs.append(F.sum(F.col("_w") * F.col(names[a]) * F.col(names[b])).alias(f"w_{ia}_{ib}"))
-    r2row = d2.agg(*aggs).first()
+    if absorb:  # per-site sums first: the site dummies explain what lies between the sites
+        parts = d2.groupBy(absorb).agg(*aggs, F.count(F.lit(1)).alias("_size"))
+        names2 = [c for c in parts.columns if c not in (absorb, "_size")]
+        r2row = parts.agg(*[F.sum(c).alias(c) for c in names2], F.count(F.lit(1)).alias("groups"),
+                          F.sum(F.col("se2") ** 2 / F.col("_size")).alias("between")).first()
+    else:
+        r2row = d2.agg(*aggs).first()
+    n_groups = r2row["groups"] if absorb else 0
+    dof = n - len(idx) - n_groups
+    sigma2 = sse / dof if dof > 0 else float("nan")
+    sst = n * (spread["v_0"] or 0.0) if intercept or absorb else yty
+    r2 = 1 - sse / sst if sst else float("nan")
+    p_eff = len(idx) - (1 if intercept else 0) + max(n_groups - 1, 0)
+    adj = 1 - (1 - r2) * (n - 1) / (n - p_eff - 1) if n - p_eff - 1 > 0 else float("nan")
     meat = np.zeros((len(idx), len(idx)))
     for ia in range(len(idx)):
         for ib in range(ia, len(idx)):
             meat[ia, ib] = meat[ib, ia] = r2row[f"w_{ia}_{ib}"] or 0.0
-    # Breusch-Pagan: regress e^2 on X, LM = n R^2_aux
+    # Breusch-Pagan: regress e^2 on X and the site dummies, LM = n R^2_aux
     xe = np.array([r2row[f"xe_{ia}"] or 0.0 for ia in range(len(idx))])
     g = inv @ xe
     se2, se4 = r2row["se2"], r2row["se4"]
     ss_tot_aux = se4 - se2 ** 2 / n
-    ss_res_aux = se4 - 2 * g @ xe + g @ XtXr @ g
+    ss_res_aux = se4 - (r2row["between"] if absorb else 0.0) - g @ xe
     bp_lm = n * (1 - ss_res_aux / ss_tot_aux) if ss_tot_aux > 0 else float("nan")
-    bp_df = len(idx) - (1 if intercept else 0)
+    bp_df = p_eff
     bp_p = chi2_sf(bp_lm, bp_df) if bp_df > 0 and math.isfinite(bp_lm) else float("nan")
     use_hc3 = robust == "hc3" or (robust == "auto" and math.isfinite(bp_p) and bp_p < 0.05)
     cov = inv @ meat @ inv if use_hc3 else sigma2 * inv
@@ -233,6 +241,8 @@ def ols(df: DataFrame, y: str, xs: list[str], absorb: str | None = None,
     eig = np.linalg.eigvalsh(XtXr)
     return {"coefs": rows, "n": n, "dof": dof, "r2": r2, "adj_r2": adj, "sse": sse,
             "mae_rmse": None, "bp_lm": bp_lm, "bp_p": bp_p, "cov_type": "HC3" if use_hc3 else "nonrobust",
+            "vif": {names[a]: float(n * (spread[f"v_{1 + list(xs).index(names[a])}"] or 0.0) * inv[ia, ia])
+                    for ia, a in enumerate(idx) if names[a] != "const"},
             "cond_no": float(math.sqrt(eig.max() / eig.min())) if eig.min() > 0 else float("inf"),
             "cohens_f2": r2 / (1 - r2) if r2 < 1 else float("inf")}
 

@@ -117,14 +117,13 @@ CASE_ROW_CONCERNS_SQL = _concern_sql()
 def q_ols_diagnostics(spark, sf_dir, min_significant: int = 3):
     from civora.operators.joins import materialize
     from civora.operators.prep import apply_rare_levels, dummy_columns, fit_rare_levels
-    from civora.operators.stats import cohens_f2_label, normaltest, ols, vif
+    from civora.operators.stats import cohens_f2_label, normaltest, ols
     from civora.plans.attribution import OUTCOMES, WINDOWS, allocation_outcomes
     df = allocation_outcomes(spark, sf_dir)
     df = apply_rare_levels(df, "program_area", fit_rare_levels(df, "program_area"))
     df, dummies = dummy_columns(df, "program_area", drop_first=True)
     df = materialize(df)
-    rows = []
-    vifs = vif(df, ["log_amount", *dummies])
+    rows, areas = [], set()
     for o, a in OUTCOMES.items():
         for w, wm in WINDOWS.items():
             y = f"{a}_pct_change_{w}"
@@ -139,16 +138,19 @@ def q_ols_diagnostics(spark, sf_dir, min_significant: int = 3):
                                               F.skewness("e").alias("g1"), F.kurtosis("e").alias("g2"),
                                               F.count(F.lit(1)).alias("n")).first()
             k2, k2p = normaltest(mom["g1"], mom["g2"], mom["n"])
-            n_sig = sum(1 for c in fit["coefs"] if c["term"].startswith("program_area_") and c["p"] < 0.05)
+            sig = {c["term"] for c in fit["coefs"] if c["term"].startswith("program_area_") and c["p"] < 0.05}
+            areas |= sig
             rows.append((o, wm, int(fit["n"]), float(fit["r2"]), float(fit["adj_r2"]), float(fit["bp_lm"]),
                          float(fit["bp_p"]), fit["cov_type"], float(fit["cond_no"]), float(fit["cohens_f2"]),
                          cohens_f2_label(fit["cohens_f2"]), float(mom["mae"]), float(mom["rmse"]),
-                         float(k2), float(k2p), float(max(vifs.values())), n_sig,
-                         "fail" if n_sig == 0 else "warn" if n_sig < min_significant else "pass"))
+                         float(k2), float(k2p), float(max(fit["vif"].values())), len(sig)))
+    # One gate over the distinct areas of all models
+    gate = "fail" if not areas else "warn" if len(areas) < min_significant else "pass"
+    rows = [(*r, len(areas), gate) for r in rows]
     schema = ("outcome string, window_months int, n int, r2 double, adj_r2 double, bp_lm double, "
               "bp_p double, cov_type string, cond_no double, cohens_f2 double, f2_size string, "
               "mae double, rmse double, normaltest_k2 double, normaltest_p double, max_vif double, "
-              "n_significant int, gate string")
+              "n_significant int, n_significant_areas int, gate string")
     return spark.createDataFrame(rows, schema)
 
 

@@ -37,6 +37,35 @@ def test_ols_planted_effect_and_fixed_effects(spark):
     assert p["x1"] < 1e-10
 
 
+def test_ols_absorbed_sites_match_full_dummies(spark):
+    """HC3, Breusch-Pagan, R2, adjusted R2 and VIF of the design with a dummy per site."""
+    rng = np.random.default_rng(7)
+    n, sites = 120, 30
+    g = np.arange(n) % sites
+    x1 = rng.normal(size=n) + g / 10
+    x2 = (rng.random(n) < 0.5).astype(float)
+    y = 1.5 * x1 - 2.0 * x2 + g * 1.0 + rng.normal(size=n) * (0.2 + 0.1 * g)
+    df = spark.createDataFrame(pd.DataFrame({"y": y, "x1": x1, "x2": x2, "g": g}))
+    fit = S.ols(df, "y", ["x1", "x2"], absorb="g", robust="hc3")
+    X = np.column_stack([x1, x2, pd.get_dummies(g).to_numpy(float)])
+    inv = np.linalg.inv(X.T @ X)
+    beta = inv @ X.T @ y
+    e = y - X @ beta
+    h = np.einsum("ij,jk,ik->i", X, inv, X)
+    cov = inv @ (X * (e ** 2 / (1 - h) ** 2)[:, None]).T @ X @ inv
+    assert np.allclose([c["se"] for c in fit["coefs"]], np.sqrt(np.diag(cov))[:2], rtol=1e-9)
+    r2 = 1 - e @ e / ((y - y.mean()) ** 2).sum()
+    assert abs(fit["r2"] - r2) < 1e-9
+    assert abs(fit["adj_r2"] - (1 - (1 - r2) * (n - 1) / (n - 2 - sites))) < 1e-9
+    u = e ** 2 - X @ (inv @ X.T @ e ** 2)
+    lm = n * (1 - u @ u / ((e ** 2 - (e ** 2).mean()) ** 2).sum())
+    assert abs(fit["bp_lm"] - lm) < 1e-7 and abs(fit["bp_p"] - S.chi2_sf(lm, 2 + sites - 1)) < 1e-9
+    for j, name in enumerate(["x1", "x2"]):
+        rest = np.delete(X, j, axis=1)
+        r = X[:, j] - rest @ np.linalg.lstsq(rest, X[:, j], rcond=None)[0]
+        assert abs(fit["vif"][name] - ((X[:, j] - X[:, j].mean()) ** 2).sum() / (r @ r)) < 1e-7
+
+
 def test_kendall_tau_b_matches_brute_force(spark):
     from civora.plans.monitoring import kendall_tau_b
     rng = np.random.default_rng(1)
