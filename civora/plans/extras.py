@@ -158,7 +158,7 @@ def q_ols_diagnostics(spark, sf_dir, min_significant: int = 3):
 def q_model_gap_flags(spark, sf_dir, max_gap: float = 0.10, min_auc: float = 0.72):
     from civora.operators.evaluate import auc
     from civora.plans.models import positive_prob, train_churn
-    fitted, meta = train_churn(spark, sf_dir, numTrees=30, maxDepth=5)
+    fitted, meta = train_churn(spark, sf_dir)
     from civora.plans.churn import churn_features
     from civora.operators.evaluate import stratified_split
     from civora.operators.prep import apply_rare_levels
