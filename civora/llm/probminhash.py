@@ -8,7 +8,9 @@ sets. Arrivals are drawn in order of time and a shingle stops as soon as its
 next arrival comes after the latest first arrival of all positions.
 
 Candidates: positions are cut into bands; texts that share a band form a
-bucket. A bucket's smallest member is its lead, and every member is verified
+bucket. Plain Jaccard pairs can differ widely in weights, so a text whose
+shingle counts differ is banded twice: by its counts and with all weights 1.
+Even counts give both sketches at once. A bucket's smallest member is its lead, and every member is verified
 against the lead on its shingles. Verified links are united to components, and
 in rounds one member of every other component of a bucket is verified against
 one of its largest component, drawn anew in each round, as long as that joins
@@ -149,6 +151,14 @@ def band_keys(kept: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key
 
 
+def candidate_bands(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Band keys of a text: of the plain set and, if its counts differ, of the weighted set too."""
+    plain = band_keys(sketch(hashes, np.ones(len(hashes))))
+    if counts.max() == counts.min():
+        return plain
+    return np.unique(np.concatenate((plain, band_keys(sketch(hashes, counts.astype(float))))))
+
+
 def similarities(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
     """Plain and probability Jaccard index of two weighted sets (sorted hashes, weights)."""
     union = np.union1d(a[0], b[0])
@@ -184,7 +194,7 @@ def _bands(docs: DataFrame) -> DataFrame:
             for key, s in zip(keys, shingler(texts)):
                 if len(s):
                     hashes, counts = np.unique(s, return_counts=True)
-                    rows.append((key, band_keys(sketch(hashes, counts.astype(float))).view(np.int64)))
+                    rows.append((key, candidate_bands(hashes, counts).view(np.int64)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))],

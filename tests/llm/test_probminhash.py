@@ -115,6 +115,23 @@ def test_classes_match_brute_force(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(brute(data).values()))
 
 
+def test_plain_near_pairs_of_uneven_weight(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
+    data = []
+    for k in range(12):
+        base, line = [word() for _ in range(304)], [word() for _ in range(12)]
+        # once even against uneven, once two texts that repeat different lines
+        other = base + [w for w in base[:12]] * 80 if k % 2 else base
+        data += [(10 * k, " ".join(other)), (10 * k + 1, " ".join(base + line * 80))]
+        a, b = weighted(data[-2][1]), weighted(data[-1][1])
+        plain, prob = P.similarities(a, b)
+        assert plain > 0.85 and prob < 0.5
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in P.near_duplicates(docs).collect()}
+    assert got == brute(data) == {i: i // 10 * 10 for i, _ in data}
+
+
 def test_repeated_rows_null_ids_empty(spark):
     text = "one two three four five six seven"
     docs = spark.createDataFrame([(3, text), (3, text), (5, text), (None, text), (None, "z"), (4, ""), (4, "")],
