@@ -33,7 +33,8 @@ SLACK = 1 / 64
 TOKENIZER = "word_bpe_49k.json"
 
 # Latin text without combining marks: lower-casing and normalising leave its pre-tokens
-# as this pattern finds them. Any other text goes to the tokenizer whole.
+# as this pattern finds them, if the lower-cased text stays in the range (Ə and some other
+# capitals leave it). Any other text goes to the tokenizer whole.
 _LATIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]*")
 _PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^ \t\n\ra-z0-9ß-öø-ɏ]+")
 _CACHE_WORDS = 600_000
@@ -81,7 +82,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > _CACHE_WORDS:
             self.known.clear()
-        parts = [_PRETOKEN.findall(t.lower()) if "<|" not in t and _LATIN.fullmatch(t) else None
+        parts = [_PRETOKEN.findall(low) if "<|" not in t and _LATIN.fullmatch(t) and _LATIN.fullmatch(low := t.lower()) else None
                  for t in texts]
         words = set().union(*(p for p in parts if p))
         self._learn(list(words - self.known.keys()))

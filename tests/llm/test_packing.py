@@ -25,6 +25,16 @@ def test_encoder_equals_the_tokenizer():
     assert [np.frombuffer(x, "<u4").tolist() + [1] for x in enc.encode(texts)] == [reference(t) for t in texts]
 
 
+def test_every_code_point_of_the_short_cut_equals_the_tokenizer():
+    enc = packing.Encoder(packing.default_tokenizer_path())
+    whole = enc.tok  # the tokenizer itself, read once
+    points = [chr(c) for c in range(0x250) if packing._LATIN.fullmatch(chr(c))]
+    texts = [f"{c}a{c}b {c}li a{c} 7{c}. {c}" for c in points] + ["Əli Məmmədov", "ƏLI ƊAN ƁIRNI Ɖ", "ȺȾ"]
+    assert len(points) > 400 and "Ə" in points
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == want
+
+
 def test_round_trip_and_bins(spark):
     long = " ".join(f"word{i} the quick" for i in range(2500))
     data = [(1, "one two three"), (2, None), (3, ""), (4, long), (4, long), (None, "no id"), (5, "x" * 5000)]
