@@ -48,6 +48,51 @@ def test_whole_table_against_brute_force(spark):
     assert np.mean([got[i][1] == want[i][1] for i in got]) >= 0.95
 
 
+def clusters():
+    """A cluster of a third of all vectors, planted pairs, isolated vectors."""
+    rng = np.random.default_rng(5)
+    c = rng.normal(size=24)
+    big = c + 0.03 * rng.normal(size=(500, 24))
+    pairs = np.repeat(rng.normal(size=(100, 24)), 2, axis=0) + 0.02 * rng.normal(size=(200, 24))
+    x = np.concatenate([big, pairs, rng.normal(size=(800, 24))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    return x[rng.permutation(len(x))]
+
+
+def test_audit_sees_pairs_beside_a_large_cluster(monkeypatch):
+    x = clusters()
+    true = x @ x.T >= 0.98
+    alone = true.sum(1) <= 9  # pairs and isolated vectors
+    real = H.Graph.within
+    # a graph that finds the cluster only
+    monkeypatch.setattr(H.Graph, "within", lambda g, q, t, *a: [] if (g.x @ q >= t).sum() <= 9 else real(g, q, t, *a))
+    shard = H.Shard(x, 0.98)
+    assert all(set(shard.within(x[i])) == set(np.flatnonzero(true[i]).tolist()) for i in np.flatnonzero(alone))
+
+
+def test_links_over_several_shards(spark):
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(clusters()[:600])]
+    want = brute(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in H.near_vectors(df, shard=250).collect()}
+    assert sum(got[i] == w for i, w in want.items()) >= 0.98 * len(want)
+    assert all(got[i][0] <= want[i][0] for i in got)
+
+
+def test_links_count_for_both_ends(monkeypatch):
+    x = clusters()[:48]
+    # only one end of each pair finds the other
+    half = lambda s, q: [i for i in np.flatnonzero(s.x @ q >= 0.98) if s.x[i][0] >= q[0]]
+    monkeypatch.setattr(H.Shard, "within", half)
+    for y in (None, x[:30]):
+        z = x if y is None else y
+        links = np.unpackbits(H.pair_links(H.Shard(x, 0.98), None if y is None else H.Shard(y, 0.98)), axis=1, count=len(z), bitorder="little").astype(bool)
+        near = x @ z.T >= 0.98
+        if y is None:
+            np.fill_diagonal(near, False)
+        assert (links == near).all()
+
+
 def test_edge_rows(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(1, [1.0, 0.0], 1, "own"), (2, [2.0, 0.0], 1, "own"), (3, [1.0, 0.0], 2, "own"), (4, None, 1, "own"),
