@@ -38,6 +38,26 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` in ``order`` with ``_pos``, each row's place counted from 0.
+
+    A range-partitioned sort, written once: a row's place is its place inside
+    its partition plus the rows of the partitions before. Only one count per
+    partition reaches the driver, and equal keys may lie in one partition only
+    as far as all of ``order`` is equal.
+    """
+    rows = shared_table(df.orderBy(*order).select(
+        "*", F.spark_partition_id().alias("_part"),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_at")), name)
+    first, before = [], 0
+    for r in rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect():
+        first.append((r["_part"], before))
+        before += r["n"]
+    starts = df.sparkSession.createDataFrame(first, "_part int, _first long")
+    return (rows.join(F.broadcast(starts), "_part").withColumn("_pos", F.col("_first") + F.col("_at"))
+            .drop("_part", "_at", "_first"))
+
+
 def text_key(text: str | Column = "text") -> Column:
     """16-byte content key of a text (null: as empty)."""
     return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))))

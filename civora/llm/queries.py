@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civora.llm import (cotraining, fingerprints, hnsw, htmltext, mixing, packing, probminhash, suffixes, toxicity,
-                        warc)
+from civora.llm import (cotraining, fingerprints, hnsw, htmltext, mixing, packing, probminhash, replytrees,
+                        suffixes, toxicity, warc)
 from civora.llm.common import read
 
 
@@ -64,6 +64,12 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text")).drop("key")
 
 
+def op11_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(replytrees.planted(spark))
+    formatted = replytrees.conversations(replytrees.threads(rows), score=None)
+    return replytrees.read_back(formatted).withColumnRenamed("tree", "conv_id").drop("leaf")
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
     "op1_merkle_fingerprints": (op1_merkle_fingerprints, None),
@@ -76,4 +82,5 @@ QUERIES = {
     "op8_warc_index": (op8_warc_index, None),
     "op9_hnsw_near_dedup": (op9_hnsw_near_dedup, None),
     "op10_probminhash": (op10_probminhash, None),
+    "op11_reply_trees": (op11_reply_trees, replytrees.oracle()),
 }
