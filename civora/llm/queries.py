@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civora.llm import (cotraining, fingerprints, hnsw, htmltext, mixing, packing, probminhash, replytrees,
+from civora.llm import (cotraining, fingerprints, hnsw, htmltext, importance, mixing, packing, probminhash, replytrees,
                         suffixes, toxicity, warc)
 from civora.llm.common import read
 
@@ -70,6 +70,11 @@ def op11_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replytrees.read_back(formatted).withColumnRenamed("tree", "conv_id").drop("leaf")
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents", "doc_id", "text"),
+                               read(spark, sf_dir, "benchmark", "text"))
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
     "op1_merkle_fingerprints": (op1_merkle_fingerprints, None),
@@ -83,4 +88,5 @@ QUERIES = {
     "op9_hnsw_near_dedup": (op9_hnsw_near_dedup, None),
     "op10_probminhash": (op10_probminhash, None),
     "op11_reply_trees": (op11_reply_trees, replytrees.oracle()),
+    "op12_importance_resampling": (op12_importance_resampling, importance.oracle()),
 }
