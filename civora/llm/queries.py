@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civora.llm import (cotraining, fingerprints, hnsw, htmltext, importance, mixing, packing, probminhash, replytrees,
-                        suffixes, toxicity, warc)
+from civora.llm import (cotraining, divergence, fingerprints, hnsw, htmltext, importance, mixing, packing, probminhash,
+                        replytrees, suffixes, toxicity, warc)
 from civora.llm.common import read
 
 
@@ -75,6 +75,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
                                read(spark, sf_dir, "benchmark", "text"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
     "op1_merkle_fingerprints": (op1_merkle_fingerprints, None),
@@ -89,4 +93,5 @@ QUERIES = {
     "op10_probminhash": (op10_probminhash, None),
     "op11_reply_trees": (op11_reply_trees, replytrees.oracle()),
     "op12_importance_resampling": (op12_importance_resampling, importance.oracle()),
+    "op13_source_divergence": (op13_source_divergence, divergence.oracle()),
 }
