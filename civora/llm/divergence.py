@@ -1,99 +1,96 @@
 """Source divergence audit: how far each source's words are from the other sources of its language.
 
-``CountVectorizer`` with a minimum document frequency and the largest integer
-as vocabulary size turns every document into an exact sparse vector. One fit
-serves all languages, however many there are: a term is counted as
-"language NUL term", so document frequencies and vocabularies are those of its
-language. The vectors are summed per (language, source) over their non-zero
-entries only, map-side first.
-
-The fitted vocabulary passes through the driver and is broadcast by Spark, so
-it is used only behind a check: the number of distinct (language, term) pairs,
-taken by a mergeable sketch, must be at most ``MAX_VOCABULARY``. Beyond it the
-same counts come from grouped aggregates whose vocabulary stays a distributed
-table (``_counts_wide``).
+Documents are turned into exact sparse count vectors over their language's
+vocabulary, as a count vectorizer with a minimum document frequency and the
+largest integer as vocabulary size gives them, and the vectors are summed per
+(language, source). Unlike ``pyspark.ml``'s ``CountVectorizer``, whose fit takes the
+whole vocabulary to the driver and broadcasts it, vocabulary and vectors here
+stay distributed tables keyed by the term itself: words grow with the corpus,
+so no bound on them would hold. A task counts each document's terms, adds the
+vectors of its documents up per (language, source) in bounded tables, and one
+shuffle by (language, term) gives the sums and the document frequencies at
+once.
 
 Distances between sources are evaluated from the sparse sums. Sources come in
 chunks, a language's terms in blocks; one task holds the entries of two chunks
-and one block, at most ``2 * _CHUNK * _BLOCK`` of them, and returns one number
+and one block, about ``2 * _CHUNK * _BLOCK`` of them, and returns one number
 per pair of sources. Terms that neither source has add a constant each, which
 is added at the end. Neither a language nor a source is ever gathered whole.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import CountVectorizer
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civora.llm.common import shared_path, shared_table
+from civora.llm.common import shared_table, tidy
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DF, TOP, SMOOTHING, SCALE = 30, 50, 5, 1_000_000_000
-#: Entries of a vocabulary that the driver and every executor may hold (about 100 bytes each).
-MAX_VOCABULARY = 2_000_000
+_TERM = re.compile(rb"[a-z\x80-\xff]+")
+_GAP = re.compile(rb"[^a-z\x80-\xff]")
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_PIECE = 1 << 20  # bytes of text whose terms are listed at once
+_HELD = 400_000  # entries of vector sums that a task holds
 _CHUNK, _BLOCK, _SALTS = 64, 4096, 64
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def terms(text: Column) -> Column:
-    """All terms of a text, repeats kept; only A-Z are lower-cased."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(TERM), F.lit(0))
-
 
-def _tokens(named: DataFrame) -> DataFrame:
-    """lang, source, tokens: "lang NUL term" of every term, and "lang NUL" once per document."""
-    prefix = F.concat("lang", F.lit("\x00"))
-    return named.select("lang", "source", F.concat(F.array(prefix), F.transform(
-        terms(F.col("text")), lambda t: F.concat(prefix, t))).alias("tokens"))
 
-
-def vectors(named: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
-    """(documents with their sparse count vectors, vocabulary: index, lang, term).
-
-    The token without a term stands in every document, which keeps a vocabulary
-    from being empty where a language has ``min_df`` documents; it is no term
-    and has no row in the vocabulary table.
-    """
-    tokens = _tokens(named)
-    model = CountVectorizer(inputCol="tokens", outputCol="vector", minDF=float(min_df), vocabSize=2 ** 31 - 1).fit(tokens)
-    path = shared_path(named.sparkSession, "divergence-vocabulary")
-    model.write().save(path)
-    words = named.sparkSession.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "token"))
-    vocabulary = (words.select("index", F.substring_index("token", "\x00", -1).alias("term"), "token")
-                  .select("index", F.expr("substring(token, 1, char_length(token) - char_length(term) - 1)").alias("lang"),
-                          "term").where("term <> ''"))
-    return model.transform(tokens).drop("tokens"), vocabulary
-
-
-def _counts(named: DataFrame, min_df: int) -> DataFrame:
-    """lang, source, term, n: sums of the document vectors of each (lang, source)."""
-    documents, vocabulary = vectors(named, min_df)
-    vector = F.unwrap_udt("vector")
-    entries = documents.select("source", F.explode(F.arrays_zip(vector["indices"].alias("index"), vector["values"].alias("n"))).alias("e"))
-    sums = entries.groupBy("source", F.col("e.index").alias("index")).agg(F.sum(F.col("e.n").cast("long")).alias("n"))
-    return sums.join(vocabulary, "index").select("lang", "source", "term", "n")
-
-
-def _counts_wide(named: DataFrame, min_df: int) -> DataFrame:
-    """The same sums with a vocabulary of any size, which stays distributed."""
-    split = named.select("lang", "source", terms(F.col("text")).alias("terms"))
-    kept = (split.select("lang", F.explode(F.array_distinct("terms")).alias("term")).groupBy("lang", "term")
-            .agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df).drop("df"))
-    return (split.select("lang", "source", F.explode("terms").alias("term")).groupBy("lang", "source", "term")
-            .agg(F.count(F.lit(1)).alias("n")).join(kept, ["lang", "term"]).select("lang", "source", "term", "n"))
-
-
-def group_counts(named: DataFrame, min_df: int = MIN_DF, max_vocabulary: int = MAX_VOCABULARY) -> DataFrame:
-    """Occurrences of each kept term in each (lang, source) that has any."""
-    most = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if most < min_df:  # no term can be kept
-        return named.select("lang", "source", F.lit("").alias("term"), F.lit(0).cast("long").alias("n")).limit(0)
-    met = named.select("lang", F.explode(terms(F.col("text"))).alias("term"))
-    distinct = met.agg(F.approx_count_distinct(F.xxhash64("lang", "term"), 0.02)).first()[0]
-    return (_counts if distinct * 1.1 <= max_vocabulary else _counts_wide)(named, min_df)
+def _pieces(data: bytes):
+    """``data`` in pieces of about ``_PIECE`` bytes, cut between terms."""
+    at = 0
+    while len(data) - at > _PIECE:
+        gap = _GAP.search(data, at + _PIECE)
+        if not gap:
+            break
+        yield data[at:gap.end()]
+        at = gap.end()
+    yield data[at:]
+
+
+def _sum_vectors(batches):
+    """Per (lang, source, term): occurrences and documents, summed over a task's documents."""
+    sums, held = {}, 0
+
+    def flush():
+        for (lang, source), (counts, documents) in sums.items():
+            if counts:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(counts), pa.string()), pa.array([source] * len(counts), pa.string()),
+                     pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64()),
+                     pa.array([documents[t] for t in counts], pa.int64())], names=["lang", "source", "term", "n", "df"])
+
+    for batch in batches:
+        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            if (lang, source) not in sums:
+                sums[lang, source] = Counter(), Counter()
+            counts, documents = sums[lang, source]
+            held -= len(counts)
+            met = set()
+            for piece in _pieces(text.as_py().translate(_LOWER)):
+                found = _TERM.findall(piece)
+                counts.update(found)
+                met.update(found)
+            documents.update(met)
+            held += len(counts)
+            if held > _HELD:
+                yield from flush()
+                sums, held = {}, 0
+    yield from flush()
+
+
+def group_counts(named: DataFrame, min_df: int = MIN_DF) -> DataFrame:
+    """lang, source, term, n: occurrences of each kept term in each (lang, source) that has any."""
+    sums = (named.select("lang", "source", F.col("text").cast("binary"))
+            .mapInArrow(tidy(_sum_vectors), "lang string, source string, term string, n long, df long")
+            .repartition("lang", "term").groupBy("lang", "source", "term")
+            .agg(F.sum("n").alias("n"), F.sum("df").alias("df")))
+    in_lang = F.sum("df").over(Window.partitionBy("lang", "term"))  # one row per source and term
+    return sums.withColumn("df", in_lang).where(F.col("df") >= min_df).drop("df")
 
 
 def _share(n: str, total: str, v: str, smoothing: int, scale: int) -> Column:
@@ -164,8 +161,7 @@ def distances(shares: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_df: int = MIN_DF,
-          top: int = TOP, smoothing: int = SMOOTHING, scale: int = SCALE,
-          max_vocabulary: int = MAX_VOCABULARY) -> DataFrame:
+          top: int = TOP, smoothing: int = SMOOTHING, scale: int = SCALE) -> DataFrame:
     """lang, source, part, item, value, rank: distances to other sources, and the terms a source overuses.
 
     Part ``pair`` ranks all other sources of the language by the summed
@@ -180,7 +176,7 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     """
     named = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(k)
                           for c, k in ((lang, "lang"), (source, "source"), (text, "text"))])
-    counts = shared_table(group_counts(named, min_df, max_vocabulary), "divergence-counts")
+    counts = shared_table(group_counts(named, min_df), "divergence-counts")
     in_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
     langs = in_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
@@ -210,10 +206,11 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
 
 def oracle() -> str:
     """The audit as DuckDB SQL over ``documents``."""
+    term, upper = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return rf"""
     with docs as (
       select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
-             regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{TERM}') as ts from documents),
+             regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{term}') as ts from documents),
     tokens as (select d, lang, source, unnest(ts) as term from docs),
     kept as (select lang, term, count(*) as lang_n from tokens group by lang, term having count(distinct d) >= {MIN_DF}),
     counts as (select lang, source, term, count(*) as n from tokens semi join kept using (lang, term)

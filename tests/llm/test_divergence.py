@@ -1,21 +1,27 @@
-"""Source divergence against a plain loop, both ways of counting, edge rows, the registered query."""
+"""Source divergence against a plain loop, bounded tables, edge rows, the registered query."""
 
 import collections
 import random
 import re
 
+import pyarrow as pa
+
 import __spark_entry__ as E
 from civora.llm import divergence as D
 
 SCHEMA = "text string, lang string, source string, value string"
 
 
+def terms(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+
 def brute(rows, min_df, top):
     df, counts, groups = collections.Counter(), collections.Counter(), set()
     for text, lang, source, _ in rows:
         lang, source = lang or "", source or ""
-        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-        found = re.findall(D.TERM, low)
+        found = terms(text)
         groups.add((lang, source))
         df.update((lang, t) for t in set(found))
         counts.update((lang, source, t) for t in found)
@@ -50,9 +56,26 @@ def corpus():
 def test_against_loop(spark):
     df = spark.createDataFrame(corpus(), SCHEMA).repartition(5)
     want = brute(corpus(), 12, 4)
-    for limit in (D.MAX_VOCABULARY, 0):  # the fitted vocabulary, and the distributed one
-        got = [tuple(r) for r in D.audit(df, min_df=12, top=4, max_vocabulary=limit).collect()]
-        assert len(got) == len(set(got)) and set(got) == want, limit
+    got = [tuple(r) for r in D.audit(df, min_df=12, top=4).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_bounded_tables(monkeypatch):
+    """Cut texts and flushed tables add up to the sums of whole ones."""
+    monkeypatch.setattr(D, "_PIECE", 30)
+    monkeypatch.setattr(D, "_HELD", 5)
+    rows = [(l or "", s or "", (t or "").encode()) for t, l, s, _ in corpus() if len(t or "") < 1000]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.string(), pa.binary()))],
+                                       names=["lang", "source", "text"])
+    got, want = collections.Counter(), collections.Counter()
+    for out in D._sum_vectors(iter([batch])):
+        for lang, source, term, n, df in zip(*(c.to_pylist() for c in out.columns)):
+            got.update({(lang, source, term, "n"): n, (lang, source, term, "df"): df})
+    for lang, source, text in rows:
+        found = terms(text.decode())
+        want.update((lang, source, t, "n") for t in found)
+        want.update((lang, source, t, "df") for t in set(found))
+    assert got == want
 
 
 def test_many_sources(spark):
