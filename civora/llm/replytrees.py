@@ -65,26 +65,28 @@ def _climb(rooted: DataFrame) -> tuple[DataFrame, list[DataFrame], DataFrame | N
     number of open messages, the smallest message met on the way up is a
     cycle's smallest, and it is a message's own id only there.
     """
-    state = rooted.select("tree", "node", "up", F.col("up").alias("low"), F.col("score").alias("total"),
-                          F.lit(1).cast("long").alias("length"))
-    steps, before = [], -1
+    state = shared_table(rooted.select(
+        "tree", "node", "up", F.col("up").alias("low"), F.col("score").alias("total"),
+        F.lit(1).cast("long").alias("length")), "tree-climb")
+    closed, steps, before = state.where("up is null"), [], -1
     while True:
-        state = shared_table(state, "tree-climb")
         open_ = state.where("up is not null")
         n = open_.count()
         if n == 0:
-            return state.select("tree", "node", "total", "length"), steps, None
+            return closed.select("tree", "node", "total", "length"), steps, None
         if n == before and 2 ** len(steps) >= n:
-            return state, steps, open_.where("low = node").select("tree", "node")
+            return closed, steps, open_.where("low = node").select("tree", "node")
         before = n
         steps.append(open_.select("tree", "node", "up"))
-        above = state.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"),
-                             F.col("low").alias("low2"), F.col("total").alias("total2"),
-                             F.col("length").alias("length2"))
-        state = (state.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")), "left")
-                 .select("tree", "node", F.col("up2").alias("up"), F.least("low", "low2").alias("low"),
-                         (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
-                         (F.col("length") + F.coalesce("length2", F.lit(0))).alias("length")))
+        above = closed.unionByName(open_).select(
+            F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("low").alias("low2"),
+            F.col("total").alias("total2"), F.col("length").alias("length2"))
+        state = shared_table(
+            open_.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")))
+            .select("tree", "node", F.col("up2").alias("up"), F.least("low", "low2").alias("low"),
+                    (F.col("total") + F.col("total2")).alias("total"),
+                    (F.col("length") + F.col("length2")).alias("length")), "tree-climb")
+        closed = closed.unionByName(state.where("up is null"))
 
 
 def paths(ids: DataFrame, keep: int | None = None) -> DataFrame:
@@ -112,16 +114,16 @@ def paths(ids: DataFrame, keep: int | None = None) -> DataFrame:
                       F.col("total").alias("score"), "length"))
     if keep is not None:
         ranked = ranked.where(F.col("rank") <= keep)
-    met = ranked.select("tree", "leaf", "rank", "score", "length", F.col("leaf").alias("node"),
-                        F.lit(0).cast("long").alias("up_by"))
+    met = shared_table(ranked.select("tree", "leaf", "rank", "score", "length", F.col("leaf").alias("node"),
+                                     F.lit(0).cast("long").alias("up_by")), "tree-paths")
     for k in reversed(range(len(steps))):
         step = steps[k].select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
-        here = F.struct("node", "up_by")
-        there = F.struct(F.col("up").alias("node"), (F.col("up_by") + F.lit(2 ** k)).alias("up_by"))
-        met = (met.join(step, F.col("tree").eqNullSafe(F.col("t")) & F.col("node").eqNullSafe(F.col("n")), "left")
-               .select("tree", "leaf", "rank", "score", "length",
-                       F.explode(F.when(F.col("up").isNull(), F.array(here)).otherwise(F.array(here, there))).alias("m"))
-               .select("tree", "leaf", "rank", "score", "length", "m.node", "m.up_by"))
+        further = shared_table(
+            met.where(F.col("length") - F.col("up_by") > 2 ** k)
+            .join(step, F.col("tree").eqNullSafe(F.col("t")) & F.col("node").eqNullSafe(F.col("n")))
+            .select("tree", "leaf", "rank", "score", "length", F.col("up").alias("node"),
+                    (F.col("up_by") + F.lit(2 ** k)).alias("up_by")), "tree-paths")
+        met = met.unionByName(further)
     return met.select("tree", "leaf", "rank", "score", "node", (F.col("length") - 1 - F.col("up_by")).alias("pos"))
 
 
