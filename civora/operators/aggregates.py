@@ -132,26 +132,27 @@ def group_rate_alert(df: DataFrame, by: str, cond: Column, threshold: float) ->
 # Exact quantiles without one task per group ------------------------
 
 def exact_quantiles(df: DataFrame, by: list[str], col: str, qs: list[float],
-                    names: list[str] | None = None, buckets: int = 1024) -> DataFrame:
+                    names: list[str] | None = None, buckets: int = 64) -> DataFrame:
     """Exact (linearly interpolated) quantiles per group, same values as
     ``percentile(col, q)``, without gathering a group's distinct values in one task.
 
     1. (group, value) counts -- a hot group is spread over tasks by value;
-    2. per-group min / max / N, and a range bucket of the value inside its group;
+    2. per-group N and bounds of ``buckets`` even parts of its values (a mergeable sketch), and
+       the value's bucket among them: outliers do not empty the other buckets;
     3. running counts by (group, bucket) via ``bucketed_prefix_sum``;
     4. the values at 0-based ranks floor((N-1)q) and ceil((N-1)q) are picked by
        a conditional max, then interpolated as Spark's ``percentile`` does.
     """
     from civora.operators.joins import with_scalars
+    from civora.operators.ordering import bucket_of, cut_points
     from civora.operators.temporal import bucketed_prefix_sum
     names = names or [f"q{int(round(q * 100))}" for q in qs]
     x = F.col(col).cast("double")
     vc = df.where(x.isNotNull()).groupBy(*by, x.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    mm = vc.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_tot"))
+    mm = vc.groupBy(*by).agg(cut_points(F.col("_v"), buckets, 1000).alias("_cuts"), F.sum("_n").alias("_tot"))
     j = vc.join(mm, by) if by else with_scalars(vc, mm)
-    b = F.least(F.floor((F.col("_v") - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
-                        * buckets), F.lit(buckets - 1)).cast("int")
-    cum = bucketed_prefix_sum(j.withColumn("_b", b), by, "_b", ["_v"], ["_n"])
+    b = bucket_of(F.col("_v"), F.col("_cuts"), buckets - 1)
+    cum = bucketed_prefix_sum(j.withColumn("_b", b).drop("_cuts"), by, "_b", ["_v"], ["_n"])
     before = F.col("_n_cum") - F.col("_n")            # rows strictly below this value
     aggs = []
     for q, nm in zip(qs, names):

@@ -6,8 +6,8 @@ from ``bucketed_row_number`` with the first 16 bits of the hash as bucket, so
 no window ever holds a whole class in one task.
 
 Ranking metrics (AUC with ties, ROC points) run on the per-distinct-score
-count table with bucketed prefix sums; the bucket is a range bucket of the
-score, computed from a one-row min / max aggregate.
+count table with bucketed prefix sums; the buckets' bounds are quantiles of
+the scores (``ordering.range_bucket``).
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civora.operators.joins import with_scalars
+from civora.operators.joins import materialize, with_scalars
+from civora.operators.ordering import global_position, range_bucket
 from civora.operators.temporal import bucketed_prefix_sum, bucketed_row_number
 
 HASH_BUCKET_BITS = 16
@@ -64,15 +65,11 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     return with_scalars(c, tot).withColumn("weight", F.col("n") / (F.col("k") * F.col("n_c")))
 
 
-def score_counts(df: DataFrame, label: str, score: str, buckets: int = 4096) -> DataFrame:
-    """(score, n_pos, n_neg, bucket) per distinct score, bucketed by score range."""
+def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(score, n_pos, n_neg, bucket) per distinct score, bucketed by bounds taken from the scores."""
     c = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("n_pos"), F.count_if(F.col(label) != 1).alias("n_neg"))
-    mm = c.agg(F.min("score").alias("_lo"), F.max("score").alias("_hi"))
-    b = F.least(F.floor((F.col("score") - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"),
-                                                                      F.lit(1e-300)) * buckets),
-                F.lit(buckets - 1)).cast("int")
-    return with_scalars(c, mm).withColumn("_b", b).drop("_lo", "_hi")
+    return range_bucket(materialize(c), "score")
 
 
 # Exact ROC-AUC with ties (Mann-Whitney)
@@ -132,16 +129,9 @@ def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
 
 
 # Time-ordered split by position (first floor(frac * n) rows by ts, id)
-def time_split(df: DataFrame, ts: str, tiebreak: list[str], frac: float = 0.8,
-               buckets: int = 4096) -> DataFrame:
-    mm = df.agg(F.min(F.unix_micros(F.col(ts).cast("timestamp"))).alias("_lo"),
-                F.max(F.unix_micros(F.col(ts).cast("timestamp"))).alias("_hi"),
-                F.count(F.lit(1)).alias("_n"))
-    x = F.unix_micros(F.col(ts).cast("timestamp"))
-    b = F.least(F.floor((x - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1))
-                        * buckets), F.lit(buckets - 1)).cast("int")
-    d = with_scalars(df, mm).withColumn("_b", b)
-    ranked = bucketed_row_number(d, [], "_b", [ts, *tiebreak], "_pos")
-    return (ranked.withColumn("split", F.when(F.col("_pos") <= F.floor(F.col("_n") * frac),
-                                              F.lit("train")).otherwise(F.lit("test")))
-                  .drop("_b", "_lo", "_hi", "_n"))
+def time_split(df: DataFrame, ts: str, tiebreak: list[str], frac: float = 0.8) -> DataFrame:
+    n = df.agg(F.count(F.lit(1)).alias("_n"))
+    ranked = global_position(df, [F.col(ts), *[F.col(c) for c in tiebreak]], "_pos")
+    return (with_scalars(ranked, n)
+            .withColumn("split", F.when(F.col("_pos") <= F.floor(F.col("_n") * frac), F.lit("train"))
+                        .otherwise(F.lit("test"))).drop("_n"))

@@ -307,56 +307,3 @@ def iterative_impute(df: DataFrame, cols: list[str], rounds: int = 3) -> DataFra
                       .drop("_x", "_pred")
         cur = materialize(cur)
     return cur.drop(*[f"_{c}_missing" for c in cols])
-
-
-# multivariate outlier removal, grid DBSCAN with a drop cap ---------------------------------
-
-def grid_dbscan_cells(df: DataFrame, cols: list[str], eps: float, min_pts: int) -> DataFrame:
-    """Per eps-cell (in standardised units): points, neighbourhood count, core / noise flags.
-
-    Works on cells, never on point pairs: the neighbourhood of a cell is the
-    3^d block around it, found by exploding the cell into its neighbour ids and
-    equi-joining the cell-count table. A cell is core when its block holds at
-    least ``min_pts`` points; points in cells that are neither core nor next
-    to a core cell are noise.
-    """
-    from itertools import product
-
-    from civora.operators.joins import with_scalars
-    d = df.where(" AND ".join(f"{c} IS NOT NULL" for c in cols))
-    stats = d.agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols],
-                  *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
-    z = with_scalars(d, stats)
-    cells = [F.floor((F.col(c) - F.col(f"_mu_{c}")) / F.col(f"_sd_{c}") / eps).alias(f"cell_{i}")
-             for i, c in enumerate(cols)]
-    keys = [f"cell_{i}" for i in range(len(cols))]
-    counts = z.select(*cells).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_points"))
-    offs = F.array(*[F.struct(*[F.lit(o).alias(f"o{i}") for i, o in enumerate(t)])
-                     for t in product((-1, 0, 1), repeat=len(cols))])
-    exp = counts.select(*keys, F.explode(offs).alias("_o"))
-    nb_ids = exp.select(*keys, *[(F.col(k) + F.col("_o")[f"o{i}"]).alias(f"nb_{i}") for i, k in enumerate(keys)])
-    nb = counts.select(*[F.col(k).alias(f"nb_{i}") for i, k in enumerate(keys)], F.col("n_points").alias("_nn"))
-    nbc = nb_ids.join(nb, [f"nb_{i}" for i in range(len(cols))]).groupBy(*keys).agg(F.sum("_nn").alias("nb_count"))
-    cellt = counts.join(nbc, keys).withColumn("core", F.col("nb_count") >= min_pts)
-    core = cellt.where("core").select(*[F.col(k).alias(f"nb_{i}") for i, k in enumerate(keys)]) \
-        .withColumn("_core_nb", F.lit(True))
-    near = nb_ids.join(core, [f"nb_{i}" for i in range(len(cols))]).select(*keys).distinct() \
-        .withColumn("near_core", F.lit(True))
-    return (cellt.join(near, keys, "left")
-                 .withColumn("noise", ~F.col("core") & F.col("near_core").isNull())
-                 .drop("near_core"))
-
-
-def grid_dbscan_drop_plan(cells: DataFrame, total_rows: DataFrame, keys: list[str],
-                          drop_percent: float = 0.02) -> DataFrame:
-    """How many points to drop per noise cell under the cap: sparsest cells first
-    (nb_count asc, then cell ids), at most floor(drop_percent * rows) in total."""
-    from civora.operators.joins import with_scalars
-    from civora.operators.temporal import bucketed_prefix_sum
-    noise = cells.where("noise").withColumn("_b", F.col("nb_count").cast("long"))
-    cum = bucketed_prefix_sum(noise, [], "_b", keys, ["n_points"])
-    cap = total_rows.select(F.floor(F.col("rows") * drop_percent).alias("_cap"))
-    j = with_scalars(cum, cap)
-    before = F.col("n_points_cum") - F.col("n_points")
-    drop = F.greatest(F.lit(0), F.least(F.col("n_points"), F.col("_cap") - before))
-    return j.select(*keys, "n_points", "nb_count", drop.cast("long").alias("n_dropped"))

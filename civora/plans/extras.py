@@ -319,43 +319,31 @@ FROM n
 INCREMENTAL_RESCORE_SQL = _incremental_sql()
 
 
-# grid DBSCAN outliers on post value x referrals, 2 % cap -----------------------------------------
+# DBSCAN noise on post value x referrals, removed under the 2 % cap ------------------------------
 DBSCAN_COLS = ["estimated_donation_value", "donation_referrals"]
-DBSCAN_EPS, DBSCAN_MIN_PTS = 0.1, 500
+DBSCAN_EPS, DBSCAN_MIN_PTS = 0.03, 15
 
 
 def q_multivariate_outliers(spark, sf_dir):
-    from civora.operators.prep import grid_dbscan_cells, grid_dbscan_drop_plan
-    posts = standin(spark, sf_dir, "posts")
-    cells = grid_dbscan_cells(posts, DBSCAN_COLS, DBSCAN_EPS, DBSCAN_MIN_PTS)
-    rows = posts.where(" AND ".join(f"{c} IS NOT NULL" for c in DBSCAN_COLS)).agg(
-        F.count(F.lit(1)).alias("rows"))
-    return grid_dbscan_drop_plan(cells, rows, ["cell_0", "cell_1"])
+    from civora.operators.dbscan import mark_outliers
+    return mark_outliers(standin(spark, sf_dir, "posts"), "post_id", DBSCAN_COLS, DBSCAN_EPS, DBSCAN_MIN_PTS)
 
 
 def _dbscan_sql():
     from civora.sources.standins import duck_cte
     a, b = DBSCAN_COLS
-    e = DBSCAN_EPS
+    near = f"(p.x - q.x) ** 2 + (p.y - q.y) ** 2 <= {DBSCAN_EPS} ** 2 AND q.y BETWEEN p.y - {DBSCAN_EPS} AND p.y + {DBSCAN_EPS}"
     return duck_cte("posts") + f"""
-, d AS (SELECT {a} AS a, {b} AS b FROM posts WHERE {a} IS NOT NULL AND {b} IS NOT NULL)
-, s AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb, count(*) AS rows FROM d)
-, c AS (SELECT CAST(floor((a - ma) / sa / {e}) AS BIGINT) AS cell_0,
-               CAST(floor((b - mb) / sb / {e}) AS BIGINT) AS cell_1, count(*) AS n_points
-        FROM d, s GROUP BY ALL)
-, o AS (SELECT x AS o0, y AS o1 FROM (VALUES (-1), (0), (1)) t1(x), (VALUES (-1), (0), (1)) t2(y))
-, nb AS (SELECT c.cell_0, c.cell_1, sum(n.n_points) AS nb_count FROM c, o
-         JOIN c n ON n.cell_0 = c.cell_0 + o.o0 AND n.cell_1 = c.cell_1 + o.o1 GROUP BY ALL)
-, cc AS (SELECT c.*, nb.nb_count, nb.nb_count >= {DBSCAN_MIN_PTS} AS core FROM c JOIN nb USING (cell_0, cell_1))
-, near AS (SELECT DISTINCT c.cell_0, c.cell_1 FROM c, o
-           JOIN cc k ON k.core AND k.cell_0 = c.cell_0 + o.o0 AND k.cell_1 = c.cell_1 + o.o1)
-, noise AS (SELECT cc.* FROM cc WHERE NOT core
-            AND NOT EXISTS (SELECT 1 FROM near WHERE near.cell_0 = cc.cell_0 AND near.cell_1 = cc.cell_1))
-, cu AS (SELECT *, sum(n_points) OVER (ORDER BY nb_count, cell_0, cell_1) AS cum FROM noise)
-SELECT cell_0, cell_1, n_points, nb_count,
-       CAST(greatest(0, least(n_points, floor((SELECT rows FROM s) * 0.02) - (cum - n_points))) AS BIGINT)
-         AS n_dropped
-FROM cu
+, d AS (SELECT row_number() OVER () AS i, post_id, {a} AS a, {b} AS b FROM posts WHERE {a} IS NOT NULL AND {b} IS NOT NULL)
+, s AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb FROM d)
+, z AS (SELECT i, post_id, (a - ma) / sa AS x, (b - mb) / sb AS y FROM d, s)
+, pairs AS (SELECT p.i, count(*) AS n_near FROM z p JOIN z q ON {near} GROUP BY p.i)
+, core AS (SELECT z.* FROM z JOIN pairs USING (i) WHERE n_near >= {DBSCAN_MIN_PTS})
+, open_ AS (SELECT z.*, n_near FROM z JOIN pairs USING (i) WHERE n_near < {DBSCAN_MIN_PTS})
+, noise AS (SELECT * FROM open_ WHERE i NOT IN (SELECT p.i FROM open_ p JOIN core q ON {near}))
+, placed AS (SELECT post_id, n_near,
+                    row_number() OVER (ORDER BY n_near, round(x * x + y * y, 6) DESC, post_id) AS place FROM noise)
+SELECT post_id, n_near, place, place <= floor((SELECT count(*) FROM posts) * 0.02) AS removed FROM placed
 """
 
 

@@ -14,7 +14,9 @@ from civora.functions import constants as K
 from civora.functions.columns import (date_parts, det_avg, ratio_features, round_half_up,
                                       rule_factors, sql_det_avg, sql_r)
 from civora.operators import prep
-from civora.operators.temporal import bucketed_prefix_sum, bucketed_row_number, daily_rollup
+from civora.operators.joins import materialize
+from civora.operators.ordering import global_position, range_bucket
+from civora.operators.temporal import bucketed_prefix_sum, daily_rollup
 from civora.plans.churn import _GAP_RAW, CHURN_FEATURES_SQL, churn_features, churn_sql_with
 from civora.sources.standins import EVENT_AS_OF, duck_cte, standin
 
@@ -242,16 +244,10 @@ FROM posts
 
 
 # Spearman with average ranks ---------------------------------------------
-def average_ranks(df: DataFrame, col: str, out: str, buckets: int = 4096) -> DataFrame:
+def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
     """rank_avg(v) = #(< v) + (#(= v) + 1) / 2 via counts per distinct value + bucketed prefix."""
-    c = df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    mm = c.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    b = F.least(F.floor((F.col("_v") - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"),
-                                                                    F.lit(1e-300)) * buckets),
-                F.lit(buckets - 1)).cast("int")
-    from civora.operators.joins import with_scalars
-    cb = with_scalars(c, mm).withColumn("_b", b)
-    cum = bucketed_prefix_sum(cb, [], "_b", ["_v"], ["_n"])
+    c = materialize(df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    cum = bucketed_prefix_sum(range_bucket(c, "_v"), [], "_b", ["_v"], ["_n"])
     ranks = cum.select(F.col("_v").alias(col), (F.col("_n_cum") - F.col("_n") + (F.col("_n") + 1) / 2)
                        .alias(out))
     return df.join(ranks, col)
@@ -277,14 +273,8 @@ def q_durbin_watson(spark, sf_dir):
     posts = _raw_posts(spark, sf_dir).select("platform", "created_at", "post_id", "donation_referrals")
     m = posts.groupBy("platform").agg(F.avg("donation_referrals").alias("_m"))
     e = posts.join(m, "platform").withColumn("e", F.col("donation_referrals") - F.col("_m"))
-    mm = e.agg(F.min(F.unix_micros(F.col("created_at").cast("timestamp"))).alias("_lo"),
-               F.max(F.unix_micros(F.col("created_at").cast("timestamp"))).alias("_hi"))
-    x = F.unix_micros(F.col("created_at").cast("timestamp"))
-    from civora.operators.joins import with_scalars
-    d = with_scalars(e, mm).withColumn("_b", F.least(F.floor((x - F.col("_lo")) / F.greatest(
-        F.col("_hi") - F.col("_lo"), F.lit(1)) * 4096), F.lit(4095)).cast("int"))
-    ranked = bucketed_row_number(d, [], "_b", ["created_at", "post_id", "donation_referrals", "platform"],
-                                 "_pos").select("_pos", "e")
+    ranked = global_position(e, [F.col(c) for c in ("created_at", "post_id", "donation_referrals", "platform")],
+                             "_pos").select("_pos", "e")
     prev = ranked.select((F.col("_pos") + 1).alias("_pos"), F.col("e").alias("e_prev"))
     j = ranked.join(prev, "_pos", "left")
     s = j.agg(F.sum((F.col("e") - F.col("e_prev")) ** 2).alias("num"), F.sum(F.col("e") ** 2).alias("den"),
