@@ -321,7 +321,7 @@ INCREMENTAL_RESCORE_SQL = _incremental_sql()
 
 # DBSCAN noise on post value x referrals, removed under the 2 % cap ------------------------------
 DBSCAN_COLS = ["estimated_donation_value", "donation_referrals"]
-DBSCAN_EPS, DBSCAN_MIN_PTS = 0.03, 15
+DBSCAN_EPS, DBSCAN_MIN_PTS = 0.03, 20
 
 
 def q_multivariate_outliers(spark, sf_dir):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civora.functions.columns import round_half_up, sql_r
+from civora.operators.concordance import kendall_tau_b
 from civora.plans.churn import churn_features
 from civora.plans.content import _CLEAN, clean_posts
 from civora.plans.io_queries import OLD_AS_OF, _rule_scores, _rule_sql
@@ -131,50 +132,20 @@ FROM s GROUP BY platform
 """
 
 
-# Kendall tau-b on a low-cardinality grid ----------------------------------------------
-def kendall_tau_b(df: DataFrame, a: str, b: str, max_levels: int = 200) -> DataFrame:
-    """Kendall tau-b for low-cardinality columns without enumerating pairs.
-
-    Cell counts n(a, b) are pivoted to one row per a-level with one column per
-    b-level (checked <= ``max_levels``); suffix sums over the a-levels give,
-    for every cell, how many rows lie strictly above it in a, split by b. The
-    concordant / discordant totals are then sums of cell x suffix products.
-    """
-    d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    if d.select(a).distinct().limit(100_001).count() > 100_000:
-        raise ValueError(f"{a}: too many levels for the dominance table; bin it first")
-    levels = [r[0] for r in d.select(b).distinct().orderBy(b).limit(max_levels + 1).collect()]
-    if len(levels) > max_levels:
-        raise ValueError(f"{b}: more than {max_levels} levels; bin it first")
-    g = d.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
-    piv = g.groupBy(a).pivot(b, levels).agg(F.sum("n")).fillna(0)
-    cols = [F.col(f"`{lv}`").cast("double") for lv in levels]
-    above = Window.orderBy(a).rowsBetween(1, Window.unboundedFollowing)   # one row per a-level
-    suf = [F.coalesce(F.sum(c).over(above), F.lit(0.0)) for c in cols]
-    piv = piv.select(*[c.alias(f"_c{i}") for i, c in enumerate(cols)],
-                     *[s_.alias(f"_s{i}") for i, s_ in enumerate(suf)])
-    k = len(levels)
-    conc = sum((F.col(f"_c{i}") * sum((F.col(f"_s{j}") for j in range(i + 1, k)), F.lit(0.0))
-                for i in range(k)), F.lit(0.0))
-    disc = sum((F.col(f"_c{i}") * sum((F.col(f"_s{j}") for j in range(i)), F.lit(0.0))
-                for i in range(k)), F.lit(0.0))
-    cd = piv.agg(F.sum(conc).alias("C"), F.sum(disc).alias("D"))
-    ta = g.groupBy(a).agg(F.sum("n").alias("m")).agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("n1"))
-    tb = g.groupBy(b).agg(F.sum("n").alias("m")).agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("n2"))
-    n0 = g.agg(F.sum("n").alias("N")).select((F.col("N") * (F.col("N") - 1) / 2).alias("n0"), "N")
-    from civora.operators.joins import with_scalars
-    j = with_scalars(with_scalars(with_scalars(cd, ta), tb), n0)
-    tau = (F.col("C") - F.col("D")) / F.sqrt((F.col("n0") - F.col("n1")) * (F.col("n0") - F.col("n2")))
-    return j.select("N", tau.alias("tau_b"))
-
-
+# Kendall tau-b, any number of levels -------------------------------------------------
 def q_kendall_tau(spark, sf_dir):
     t = kendall_tau_b(clean_posts(standin(spark, sf_dir, "posts")), "num_hashtags", "post_hour")
     return t.select(F.col("N").alias("n"), round_half_up("tau_b", 9).alias("tau_b"))
 
 
-KENDALL_SQL = _CLEAN + f"""
-, g AS (SELECT num_hashtags AS a, post_hour AS b, count(*) AS n FROM p GROUP BY ALL)
+def q_kendall_tau_continuous(spark, sf_dir):
+    """Two columns with about one level per row: a supporter's largest against the smallest gift."""
+    v = F.coalesce("amount", "estimated_value")
+    gifts = standin(spark, sf_dir, "donations").groupBy("supporter_id").agg(F.max(v).alias("a"), F.min(v).alias("b"))
+    return kendall_tau_b(gifts, "a", "b").select(F.col("N").alias("n"), round_half_up("tau_b", 9).alias("tau_b"))
+
+
+_TAU_OF_CELLS = f"""
 , cd AS (SELECT sum(CASE WHEN x.b < y.b THEN x.n * y.n ELSE 0 END) AS c,
                 sum(CASE WHEN x.b > y.b THEN x.n * y.n ELSE 0 END) AS d FROM g x JOIN g y ON x.a < y.a)
 , ta AS (SELECT sum(m * (m - 1) / 2) AS n1 FROM (SELECT a, sum(n) AS m FROM g GROUP BY a))
@@ -183,6 +154,12 @@ KENDALL_SQL = _CLEAN + f"""
 SELECT nn AS n, {sql_r('(c - d) / sqrt((nn * (nn - 1) / 2 - n1) * (nn * (nn - 1) / 2 - n2))', 9)} AS tau_b
 FROM cd, ta, tb, t
 """
+KENDALL_SQL = _CLEAN + """
+, g AS (SELECT num_hashtags AS a, post_hour AS b, count(*) AS n FROM p GROUP BY ALL)""" + _TAU_OF_CELLS
+KENDALL_CONTINUOUS_SQL = duck_cte("donations") + """
+, s AS (SELECT max(COALESCE(amount, estimated_value)) AS a, min(COALESCE(amount, estimated_value)) AS b
+        FROM donations GROUP BY supporter_id)
+, g AS (SELECT a, b, count(*) AS n FROM s GROUP BY ALL)""" + _TAU_OF_CELLS
 
 
 # SelectKBest by one-way ANOVA F (features x binary label) -------------------------------

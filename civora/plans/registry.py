@@ -87,6 +87,7 @@ REGISTRY: dict[str, Query] = {
     "high_risk_top10": Query(mon.q_high_risk_top10, mon.HIGH_RISK_SQL, "X4 W8 W7"),
     "conversion_consistency": Query(mon.q_conversion_consistency, mon.CONVERSION_CONSISTENCY_SQL, "X5"),
     "kendall_tau": Query(mon.q_kendall_tau, mon.KENDALL_SQL, "S13"),
+    "kendall_tau_continuous": Query(mon.q_kendall_tau_continuous, mon.KENDALL_CONTINUOUS_SQL, "S13"),
     "select_k_best": Query(mon.q_select_k_best, mon.KBEST_SQL, "M29 S14"),
     "cluster_stability": Query(mon.q_cluster_stability, mon.CLUSTER_STABILITY_SQL, "M33"),
     "input_validation": Query(mon.q_input_validation, mon.INPUT_VALIDATION_SQL, "IO10 J8"),

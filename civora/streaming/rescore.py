@@ -23,41 +23,56 @@ def incident_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
            .option("pathGlobFilter", "events*.parquet").parquet(sf_dir))
     return (src.where(F.col("event_type") == "error")
-               .select(F.col("user_id").alias("case_id"),
+               .select(F.col("event_id").alias("incident_id"), F.col("user_id").alias("case_id"),
                        F.col("ts").cast("timestamp").alias("ts"),   # watermark needs TIMESTAMP
                        F.when(F.col("value") > 100, "High").otherwise("Other").alias("severity")))
 
 
-def trailing_incident_counts(stream: DataFrame, window: str = "3 days", slide: str = "1 day",
+def trailing_incident_counts(stream: DataFrame, window: str = "30 days", slide: str = "1 day",
                              watermark: str = "2 days") -> DataFrame:
-    """ST2: per case and sliding window, incident and high-severity counts."""
-    return (stream.withWatermark("ts", watermark)
+    """ST2: per case and sliding window, incident and high-severity counts.
+
+    An incident that arrives again (same ``incident_id``) within the watermark
+    counts once. That step sees every row by itself, so the rows it drops as
+    older than the watermark are the late incidents, each once (:func:`late_rows`);
+    the windows behind it then drop none.
+    """
+    return (stream.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["incident_id"])
                   .groupBy("case_id", F.window("ts", window, slide).alias("w"))
                   .agg(F.count(F.lit(1)).alias("incidents"),
                        F.count_if(F.col("severity") == "High").alias("high_incidents")))
 
 
+def write_finished_windows(counts: DataFrame, path: str, checkpoint: str):
+    """Start the query that appends every window to files once the watermark has passed its end."""
+    return (counts.select("case_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                          "incidents", "high_incidents")
+            .writeStream.outputMode("append").format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def late_rows(query) -> int:
+    """Incidents the query dropped for being older than the watermark (that of the batch before theirs).
+
+    Taken from the progress reports that the session keeps
+    (``spark.sql.streaming.numRecentProgressUpdates`` batches).
+    """
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress
+               for op in p["stateOperators"] if op["operatorName"] == "dedupeWithinWatermark")
+
+
 def q_trailing_incident_counts(spark, sf_dir):
-    """Run ST2 to completion on the file source; return the finished windows."""
+    """Run ST2 to completion on the file source; return the windows the watermark has closed."""
     import uuid
     tag = uuid.uuid4().hex[:12]
-    out = scratch_path(spark, "stream", f"st2-{tag}")
-    agg = trailing_incident_counts(incident_stream(spark, sf_dir))
-    q = (agg.select("case_id", F.col("w.start").alias("window_start"),
-                    F.col("w.end").alias("window_end"), "incidents", "high_incidents")
-            .writeStream.outputMode("update").format("memory")
-            .queryName(f"st2_{tag}")
-            .option("checkpointLocation", out).trigger(availableNow=True).start())
+    out = scratch_path(spark, "stream", f"st2-{tag}-windows")
+    q = write_finished_windows(trailing_incident_counts(incident_stream(spark, sf_dir)), out,
+                               scratch_path(spark, "stream", f"st2-{tag}"))
     q.awaitTermination()
-    name = q.name
-    # 'update' mode emits a row per window per change; keep the final state
-    res = spark.table(name)
-    return (res.groupBy("case_id", "window_start", "window_end")
-               .agg(F.max("incidents").alias("incidents"),
-                    F.max("high_incidents").alias("high_incidents"))
-               .select("case_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                       F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                       "incidents", "high_incidents"))
+    res = spark.read.schema("case_id long, window_start timestamp, window_end timestamp, incidents long, "
+                            "high_incidents long").parquet(out)
+    return res.select("case_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "incidents", "high_incidents")
 
 
 def incremental_rescore(spark: SparkSession, donations_stream: DataFrame, history: DataFrame,
@@ -87,8 +102,9 @@ def rescored_table(spark: SparkSession, table: str) -> DataFrame:
 ST2_SQL = """
 WITH e AS (SELECT user_id AS case_id, ts, value FROM events WHERE event_type = 'error'),
 w AS (SELECT case_id, value, date_trunc('day', ts) - to_days(CAST(i AS INTEGER)) AS window_start
-      FROM e, range(0, 3) r(i))
-SELECT case_id, window_start, window_start + INTERVAL 3 DAY AS window_end, count(*) AS incidents,
+      FROM e, range(0, 30) r(i)),
+mark AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 DAY AS watermark FROM e)
+SELECT case_id, window_start, window_start + INTERVAL 30 DAY AS window_end, count(*) AS incidents,
        count(*) FILTER (WHERE value > 100) AS high_incidents
-FROM w GROUP BY ALL
+FROM w, mark WHERE window_start + INTERVAL 30 DAY <= watermark GROUP BY ALL
 """
