@@ -281,29 +281,41 @@ def q_registry_roundtrip(spark, sf_dir):
     return with_scalars(hist, n).withColumn("live", F.col("version") == F.lit(live))
 
 
-# ST1: incremental rescore over the donation file stream equals the batch scores -------------------------------
-def q_incremental_rescore(spark, sf_dir):
+# ST1: incremental rescore over a stream of donation files equals the batch scores -----------------------------
+RESCORE_AS_OF = "DATE '2001-08-02'"
+
+
+def rule_scores_of(state, supporters):
+    """Rule score and tier of active supporters with two gifts or more, from their kept accumulators."""
+    from civora.functions.columns import tier
+    gap = F.greatest(F.date_diff("last_date", "first_date"), F.lit(0)) / F.greatest(F.col("frequency") - 1, F.lit(1))
+    recency = F.date_diff(F.expr(RESCORE_AS_OF), F.col("last_date"))
+    s = round_half_up(F.least(F.lit(1.0), recency / (gap * 4 + 1)), 6)
+    active = supporters.where(F.col("status") == "Active").select("supporter_id")
+    return (state.where("frequency >= 2").join(active, "supporter_id", "left_semi")
+            .select("supporter_id", s.alias("rule_score"), tier(s).alias("risk_tier")))
+
+
+def q_incremental_rescore(spark, sf_dir, files: int = 4):
+    """Donations land as several files, one micro-batch each; the state is compacted in between."""
     import uuid
 
-    from civora.plans.io_queries import _rule_scores
-    from civora.streaming.rescore import incremental_rescore, rescored_table
-    from civora.sources.tables import table_path
-    schema = spark.read.parquet(table_path(sf_dir, "orders")).schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "orders*.parquet").parquet(sf_dir)
-              .select(F.col("o_custkey").alias("supporter_id")))
-    # history = every donation key; the features themselves come from the tables
-    history = spark.read.parquet(table_path(sf_dir, "orders")).select(F.col("o_custkey").alias("supporter_id"))
-    table = f"rescore_{uuid.uuid4().hex[:8]}"
-    all_scores = _rule_scores(spark, sf_dir, "DATE '2001-08-02'").drop("scored_as_of")
-
-    def feature_fn(keys):
-        return all_scores.join(keys.select("supporter_id").distinct(), "supporter_id", "left_semi")
-
-    q = incremental_rescore(spark, stream, history, feature_fn, lambda f: f, table=table)
-    q.processAllAvailable()
-    q.stop()
-    return rescored_table(spark, table)
+    from civora.functions.columns import coalesce_amount
+    from civora.session import scratch_path
+    from civora.streaming.rescore import incremental_rescore
+    from civora.streaming.state import KeyedState, gift_accumulators, latest_scores
+    root = scratch_path(spark, "rescore", uuid.uuid4().hex[:12])
+    gifts = standin(spark, sf_dir, "donations").where(F.col("donation_date") < F.expr(RESCORE_AS_OF)).select(
+        "supporter_id", "donation_date", "is_recurring", coalesce_amount("amount", "estimated_value").alias("value"))
+    gifts.repartition(files).write.parquet(f"{root}/landing")
+    stream = (spark.readStream.schema(spark.read.parquet(f"{root}/landing").schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{root}/landing"))
+    state = KeyedState(spark, f"{root}/state", "supporter_id",
+                       gift_accumulators(F.col("value"), recurring=F.col("is_recurring")), n_buckets=16)
+    q = incremental_rescore(stream, state, lambda s: rule_scores_of(s, standin(spark, sf_dir, "supporters")),
+                            f"{root}/scores", f"{root}/checkpoint", compact_every=2)
+    q.awaitTermination()
+    return latest_scores(spark, f"{root}/scores", "supporter_id")
 
 
 def _incremental_sql():

@@ -1,10 +1,10 @@
 """Streaming.
 
 ST2: trailing incident counts as a watermarked sliding-window aggregation.
-ST1: incremental rescore -- each micro-batch of new donations yields the set
-of affected supporters; only their history is re-featured (semi-join) and
-upserted into the score snapshot, so the result after the last batch equals
-a full batch run.
+ST1: incremental rescore -- each micro-batch of new donations is merged into
+per-supporter accumulators (``streaming.state``) and only the supporters it
+touched are scored again; the result after the last batch equals a full batch
+run, and history is never read again.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from civora.session import scratch_path
 from civora.sources.tables import table_path
+from civora.streaming.state import KeyedState, append_scores
 
 
 def incident_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,28 +76,21 @@ def q_trailing_incident_counts(spark, sf_dir):
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "incidents", "high_incidents")
 
 
-def incremental_rescore(spark: SparkSession, donations_stream: DataFrame, history: DataFrame,
-                        feature_fn, score_fn, table: str = "churn_scores", n_buckets: int = 64):
-    """ST1: foreachBatch -> affected keys -> semi-join history -> features -> bucketed upsert.
+def incremental_rescore(stream: DataFrame, state: KeyedState, score_fn, scores_path: str, checkpoint: str,
+                        compact_every: int = 16):
+    """ST1: fold each micro-batch into the kept state and score the keys it touched.
 
-    Each micro-batch rewrites only the hash buckets of the supporters it
-    touched (``upsert_buckets``), so its cost follows the batch size.
+    Work per batch follows the batch: its rows, the base buckets and recent
+    deltas of its keys, and one score row per key. Every ``compact_every``
+    batches the state is compacted.
     """
-    from civora.sources.sinks import upsert_buckets
-    path = scratch_path(spark, "tables", table)
-
     def handle(batch: DataFrame, epoch: int):
-        keys = batch.select("supporter_id").distinct()
-        affected = history.join(keys, "supporter_id", "left_semi")
-        upsert_buckets(spark, path, score_fn(feature_fn(affected)), ["supporter_id"], n_buckets)
-
-    return (donations_stream.writeStream.foreachBatch(handle)
-            .option("checkpointLocation", scratch_path(spark, "stream", table)).start())
-
+        append_scores(score_fn(state.apply(batch, epoch)), scores_path, epoch)
+        if epoch % compact_every == compact_every - 1:
+            state.compact(epoch)
 
-def rescored_table(spark: SparkSession, table: str) -> DataFrame:
-    from civora.sources.sinks import read_buckets
-    return read_buckets(spark, scratch_path(spark, "tables", table))
+    return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 ST2_SQL = """
