@@ -71,7 +71,7 @@ def url_key(url: str | None) -> str:
 
 
 def _line_key(url: str | None, page_id: int | None) -> str:
-    """Sort key of a capture: no two different pages share it."""
+    """Sort key of a capture; pages whose urls differ in scheme, port, user or fragment only may share it."""
     key = re.sub(r"[\x00-\x20\x7f\\]", lambda m: "%%%02X" % ord(m.group()), url_key(url))
     return f"{key} {'-' if page_id is None else page_id}"
 
@@ -251,8 +251,9 @@ def look_up(requests: DataFrame, directory: DataFrame, index_folder: str, archiv
             with_payload: bool = False) -> DataFrame:
     """Records of the requested (page_id, url) pairs, read back through the index.
 
-    Requests are made distinct first. A pair that several captures share gives
-    all of them; an unknown pair gives none.
+    A request finds every capture under its key (page_id and url without
+    scheme, port, user and fragment). However many requests name a key, each
+    of its captures is given once; an unknown key gives none.
     """
     spark = requests.sparkSession
     blocks = sorted(tuple(r) for r in directory.select("first", "last", "file", "offset", "length").collect())
@@ -297,7 +298,7 @@ def look_up(requests: DataFrame, directory: DataFrame, index_folder: str, archiv
             archive.close()
 
     return (requests.select("page_id", "url").distinct().mapInArrow(locate, "block long, key string")
-            .repartition(partitions(spark), "block").sortWithinPartitions("block", "key")
+            .repartition(partitions(spark), "block").dropDuplicates(["block", "key"]).sortWithinPartitions("block", "key")
             .mapInArrow(fetch, _RECORDS))
 
 

@@ -75,3 +75,14 @@ def test_keys_and_broken_records():
     for bad in (data.replace(b"payload\r", b"paylOad\r"), data[:-1], b"x" + data):
         with pytest.raises(ValueError):
             warc.parse(bad)
+
+
+def test_captures_that_share_a_key(spark):
+    """Urls that differ in scheme, port, user or fragment, and null ids, give one row per page."""
+    pages = [(5, "http://a.org/x", "one"), (5, "https://a.org/x", "two"), (5, "https://a.org:8443/x", "three"),
+             (5, "https://me@a.org/x", "four"), (None, "http://b.org/#1", "five"), (None, "http://b.org/#2", "six"),
+             (6, None, "seven"), (7, "http://a.org/x", "eight"), (5, "http://a.org/x", "one")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    rows = warc.round_trip(df, with_payload=True).collect()
+    assert sorted((str(r.page_id), str(r.url), r.payload.decode()) for r in rows) == sorted(
+        (str(i), str(u), h) for i, u, h in pages)
