@@ -281,6 +281,50 @@ def q_registry_roundtrip(spark, sf_dir):
     return with_scalars(hist, n).withColumn("live", F.col("version") == F.lit(live))
 
 
+# One label trained again, the other label's model and the shared version stay ----------------------------
+READINESS_GATES = {"auc": 0.70, "recall": 0.65}
+
+
+def q_label_retrain(spark, sf_dir):
+    """Registry after: both labels under v1, readiness trained again, then a retrain that misses its gates."""
+    import uuid
+
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from civora.plans.churn import churn_features
+    from civora.session import scratch_path
+    from civora.sources import registry as R
+    root = scratch_path(spark, "registry", uuid.uuid4().hex[:12])
+    df = churn_features(spark, sf_dir).withColumn("recurs", F.col("ever_recurring").cast("int"))
+
+    def fit(label, steps):
+        stages = [VectorAssembler(inputCols=["recency_days", "frequency", "tenure_days"], outputCol="features"),
+                  LogisticRegression(labelCol=label, maxIter=steps)]
+        return Pipeline(stages=stages).fit(df)
+
+    R.register_label(spark, "cases", "risk", fit("churned", 5), {"auc": 0.8, "recall": 0.8}, {}, "v1", root)
+    R.register_label(spark, "cases", "readiness", fit("recurs", 5), {"auc": 0.71, "recall": 0.66}, READINESS_GATES, "v1", root)
+    R.register_label(spark, "cases", "readiness", fit("recurs", 10), {"auc": 0.75, "recall": 0.7}, READINESS_GATES, root=root)
+    try:
+        R.register_label(spark, "cases", "readiness", fit("recurs", 1), {"auc": 0.9, "recall": 0.6}, READINESS_GATES, root=root)
+        stopped = False
+    except R.GateFailed:
+        stopped = True
+    now = R.current_labels(spark, "cases", root).select("label", F.col("revision").alias("in_force"))
+    return (R.label_table(spark, "cases", root).join(now, "label")
+            .select("version", "label", "revision", (F.col("revision") == F.col("in_force")).alias("in_force"),
+                    F.get_json_object("metrics", "$.auc").cast("double").alias("auc"), F.lit(stopped).alias("gate_held")))
+
+
+LABEL_RETRAIN_SQL = """
+SELECT * FROM (VALUES ('v1', 'risk', 0::INTEGER, true, 0.8::DOUBLE, true), ('v1', 'readiness', 0::INTEGER, false, 0.71::DOUBLE, true),
+                      ('v1', 'readiness', 1::INTEGER, true, 0.75::DOUBLE, true))
+  t(version, label, revision, in_force, auc, gate_held)
+"""
+
+
 # ST1: incremental rescore over a stream of donation files equals the batch scores -----------------------------
 RESCORE_AS_OF = "DATE '2001-08-02'"
 

@@ -211,6 +211,29 @@ SELECT feature, {sql_r('fs', 4)} AS f_score, row_number() OVER (ORDER BY fs DESC
 KBEST_SQL = _kbest_sql()
 
 
+# Mutual information of the same features with the churn label ------------------------------
+def q_mutual_information(spark, sf_dir):
+    from civora.operators.selection import mutual_information
+    mi = mutual_information(churn_features(spark, sf_dir), "churned", KBEST_FEATURES)
+    return mi.select("feature", round_half_up("mi", 9).alias("mi"))
+
+
+def _mi_sql():
+    head = KBEST_SQL.split("\n, g AS (SELECT feature, y, count(x)")[0]
+    cuts = ", ".join(f"round(quantile_cont(x, {k / 10}), 6)" for k in range(1, 10))
+    return head + f"""
+, cuts AS (SELECT feature, [{cuts}] AS cs FROM lg GROUP BY feature)
+, cells AS (SELECT lg.feature, CASE WHEN x IS NULL THEN -1 ELSE len(list_filter(cs, lambda c: c <= x)) END AS bin, y,
+                   count(*) AS n FROM lg JOIN cuts ON cuts.feature = lg.feature WHERE y IS NOT NULL GROUP BY ALL)
+, m AS (SELECT feature, n, sum(n) OVER (PARTITION BY feature) AS tot, sum(n) OVER (PARTITION BY feature, bin) AS nb,
+               sum(n) OVER (PARTITION BY feature, y) AS ny FROM cells)
+SELECT feature, {sql_r('sum(n / tot * ln(n * tot / (nb * ny)))', 9)} AS mi FROM m GROUP BY feature
+"""
+
+
+MUTUAL_INFORMATION_SQL = _mi_sql()
+
+
 # Cluster stability (training windows vs scored cases), total-variation distance ------------
 def q_cluster_stability(spark, sf_dir):
     from civora.plans import interventions as iv

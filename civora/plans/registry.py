@@ -89,11 +89,14 @@ REGISTRY: dict[str, Query] = {
     "kendall_tau": Query(mon.q_kendall_tau, mon.KENDALL_SQL, "S13"),
     "kendall_tau_continuous": Query(mon.q_kendall_tau_continuous, mon.KENDALL_CONTINUOUS_SQL, "S13"),
     "select_k_best": Query(mon.q_select_k_best, mon.KBEST_SQL, "M29 S14"),
+    "mutual_information": Query(mon.q_mutual_information, mon.MUTUAL_INFORMATION_SQL, "M29"),
     "cluster_stability": Query(mon.q_cluster_stability, mon.CLUSTER_STABILITY_SQL, "M33"),
     "input_validation": Query(mon.q_input_validation, mon.INPUT_VALIDATION_SQL, "IO10 J8"),
     "dashboard_high_risk": Query(mon.q_dashboard_high_risk, mon.DASHBOARD_SQL, "X14 IO4"),
+    "cross_validation_table": Query(ml.q_cross_validation_table, None, "M15 X3"),
+    "label_retrain": Query(ex.q_label_retrain, ex.LABEL_RETRAIN_SQL, "X9 IO8"),
     "case_model_scores": Query(ml.q_case_model_scores, None,
-                               "X8 X9 M3 M5 M13 M15 M17 M18 M26 M27 P20 P34"),
+                               "X8 M3 M5 M13 M17 M18 M26 M27 P20 P34"),
     "content_model_recommendations": Query(ml.q_content_model_recommendations, None,
                                            "X12 W9 M9 M10 M14 W6 P24"),
     "statement_coverage": Query(ex.q_statement_coverage, ex.STATEMENT_COVERAGE_SQL, "A23"),

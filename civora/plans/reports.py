@@ -228,18 +228,16 @@ FROM l
 
 # P29 -------------------------------------------------------------------------------
 def q_centered_square(spark, sf_dir):
-    posts = _raw_posts(spark, sf_dir)
-    mu = posts.agg(F.avg("caption_length").alias("_mu"))
     from civora.operators.joins import with_scalars
-    d = with_scalars(posts.select("caption_length").distinct(), mu)
-    return d.select("caption_length",
+    posts = _raw_posts(spark, sf_dir).select("post_id", "caption_length")
+    d = with_scalars(posts, posts.agg(F.avg("caption_length").alias("_mu")))
+    return d.select("post_id", "caption_length",
                     round_half_up((F.col("caption_length") - F.col("_mu")) ** 2, 6).alias("caption_sq"))
 
 
 CENTERED_SQL = _RAW + f"""
-SELECT DISTINCT caption_length,
-       {sql_r('(caption_length - (SELECT avg(caption_length) FROM posts)) * (caption_length - (SELECT avg(caption_length) FROM posts))')} AS caption_sq
-FROM posts
+, m AS (SELECT avg(caption_length) AS mu FROM posts)
+SELECT post_id, caption_length, {sql_r('(caption_length - mu) * (caption_length - mu)')} AS caption_sq FROM posts, m
 """
 
 
