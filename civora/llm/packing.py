@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -51,30 +52,23 @@ class Encoder:
 
     The tokenizer lower-cases, drops white space and merges inside pre-tokens
     only, so the ids of a text are the ids of its pre-tokens one after the
-    other: each distinct pre-token is encoded once and looked up afterwards.
-    Texts outside the plain Latin range, or that may hold a special token, are
-    encoded whole. The table is emptied when it exceeds ``_CACHE_WORDS``.
+    other: the model encodes each distinct pre-token once, afterwards it is
+    looked up. Texts outside the plain Latin range, or that may hold a special
+    token, are encoded whole. The table is emptied when it exceeds
+    ``_CACHE_WORDS``.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
         self.tok, self.known = Tokenizer.from_file(path), {}
-        vocab = self.tok.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-
-    def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 2_000):
-            some = words[i:i + 2_000]
-            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(stops) == len(some) and stops[-1] == 4 * len(ids):
-                raw = ids.tobytes()
-                self.known.update((w, raw[a:b]) for w, a, b in zip(some, [0] + stops, stops))
-            else:
-                for w in some:
-                    self.known[w] = self._whole(w)
+        self.merge, self.normal, self.split = (self.tok.model.tokenize, self.tok.normalizer.normalize_str,
+                                               self.tok.pre_tokenizer.pre_tokenize_str)
+
+    def _learn(self, words) -> None:
+        for w in words:  # ASCII pre-tokens reach the model as they are
+            parts = (w,) if w.isascii() else [x for x, _ in self.split(self.normal(w))]
+            self.known[w] = array("I", [t.id for x in parts for t in self.merge(x)]).tobytes()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -82,12 +76,18 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > _CACHE_WORDS:
             self.known.clear()
-        parts = [_PRETOKEN.findall(low) if "<|" not in t and _LATIN.fullmatch(t) and _LATIN.fullmatch(low := t.lower()) else None
-                 for t in texts]
-        words = set().union(*(p for p in parts if p))
-        self._learn(list(words - self.known.keys()))
-        get = {w: self.known[w] for w in words}.__getitem__
-        return [self._whole(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts)]
+        out, get = [], self.known.get
+        for t in texts:
+            if "<|" in t or not _LATIN.fullmatch(t) or not _LATIN.fullmatch(low := t.lower()):
+                out.append(self._whole(t))
+                continue
+            words = _PRETOKEN.findall(low)
+            ids = list(map(get, words))
+            if None in ids:
+                self._learn({w for w, i in zip(words, ids) if i is None})
+                ids = map(get, words)
+            out.append(b"".join(ids))
+        return out
 
 
 @lru_cache(maxsize=2)
