@@ -346,7 +346,7 @@ def q_incremental_rescore(spark, sf_dir, files: int = 4):
 
     from civora.functions.columns import coalesce_amount
     from civora.session import scratch_path
-    from civora.streaming.rescore import incremental_rescore
+    from civora.streaming.rescore import rescore_from_state
     from civora.streaming.state import KeyedState, gift_accumulators, latest_scores
     root = scratch_path(spark, "rescore", uuid.uuid4().hex[:12])
     gifts = standin(spark, sf_dir, "donations").where(F.col("donation_date") < F.expr(RESCORE_AS_OF)).select(
@@ -356,8 +356,8 @@ def q_incremental_rescore(spark, sf_dir, files: int = 4):
               .parquet(f"{root}/landing"))
     state = KeyedState(spark, f"{root}/state", "supporter_id",
                        gift_accumulators(F.col("value"), recurring=F.col("is_recurring")), n_buckets=16)
-    q = incremental_rescore(stream, state, lambda s: rule_scores_of(s, standin(spark, sf_dir, "supporters")),
-                            f"{root}/scores", f"{root}/checkpoint", compact_every=2)
+    q = rescore_from_state(stream, state, lambda s: rule_scores_of(s, standin(spark, sf_dir, "supporters")),
+                           f"{root}/scores", f"{root}/checkpoint", compact_every=2)
     q.awaitTermination()
     return latest_scores(spark, f"{root}/scores", "supporter_id")
 

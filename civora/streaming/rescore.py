@@ -76,8 +76,8 @@ def q_trailing_incident_counts(spark, sf_dir):
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "incidents", "high_incidents")
 
 
-def incremental_rescore(stream: DataFrame, state: KeyedState, score_fn, scores_path: str, checkpoint: str,
-                        compact_every: int = 16):
+def rescore_from_state(stream: DataFrame, state: KeyedState, score_fn, scores_path: str, checkpoint: str,
+                       compact_every: int = 16):
     """ST1: fold each micro-batch into the kept state and score the keys it touched.
 
     Work per batch follows the batch: its rows, the base buckets and recent
@@ -93,6 +93,31 @@ def incremental_rescore(stream: DataFrame, state: KeyedState, score_fn, scores_p
             .trigger(availableNow=True).start())
 
 
+def incremental_rescore(spark: SparkSession, donations_stream: DataFrame, history: DataFrame,
+                        feature_fn, score_fn, table: str = "churn_scores", n_buckets: int = 64):
+    """ST1: foreachBatch -> affected keys -> semi-join history -> features -> bucketed upsert.
+
+    For scores that need the whole history of a supporter rather than
+    accumulators (:func:`rescore_from_state`): every batch reads ``history`` and
+    rewrites the hash buckets of the supporters it touched.
+    """
+    from civora.sources.sinks import upsert_buckets
+    path = scratch_path(spark, "tables", table)
+
+    def handle(batch: DataFrame, epoch: int):
+        keys = batch.select("supporter_id").distinct()
+        affected = history.join(keys, "supporter_id", "left_semi")
+        upsert_buckets(spark, path, score_fn(feature_fn(affected)), ["supporter_id"], n_buckets)
+
+    return (donations_stream.writeStream.foreachBatch(handle)
+            .option("checkpointLocation", scratch_path(spark, "stream", table)).start())
+
+
+def rescored_table(spark: SparkSession, table: str) -> DataFrame:
+    from civora.sources.sinks import read_buckets
+    return read_buckets(spark, scratch_path(spark, "tables", table))
+
+
 ST2_SQL = """
 WITH e AS (SELECT user_id AS case_id, ts, value FROM events WHERE event_type = 'error'),
 w AS (SELECT case_id, value, date_trunc('day', ts) - to_days(CAST(i AS INTEGER)) AS window_start
