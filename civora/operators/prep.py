@@ -154,6 +154,19 @@ def row_fill_share(cols: list[str]) -> Column:
     return sum((F.col(c).isNotNull().cast("int") for c in cols), F.lit(0)) / len(cols)
 
 
+def drop_missing(df: DataFrame, cols: list[str], row_threshold: float = 0.9, col_threshold: float = 0.5) -> DataFrame:
+    """``df`` without the ``cols`` that are null in more than ``col_threshold`` of the rows, and then
+    without the rows that have less than ``row_threshold`` of the remaining ``cols`` filled.
+
+    Null shares come from one aggregate; rows are decided one by one. With no
+    rows or no column left nothing more is dropped.
+    """
+    shares = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in cols]).first()
+    kept = [c for c in cols if not shares["_n"] or 1 - shares[c] / shares["_n"] <= col_threshold]
+    out = df.drop(*[c for c in cols if c not in kept])
+    return out.where(row_fill_share(kept) >= row_threshold) if kept else out
+
+
 # outlier clamp: Tukey fences if skewed else mean +/- 3 std ---------------------------
 
 def fit_outlier_bounds(df: DataFrame, cols: list[str], skew_limit: float = 1.0) -> DataFrame:
@@ -178,9 +191,15 @@ def fit_outlier_bounds(df: DataFrame, cols: list[str], skew_limit: float = 1.0)
 
 
 def clamp(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
-    for c, (lo, hi) in bounds.items():
-        df = df.withColumn(c, F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi)))
-    return df
+    """Values outside their column's bounds become the bound; nulls stay null."""
+    return df.withColumns({c: F.when(F.col(c).isNotNull(), F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi)))
+                           for c, (lo, hi) in bounds.items()})
+
+
+def replace_outliers(df: DataFrame, cols: list[str], skew_limit: float = 1.0) -> DataFrame:
+    """F14 whole: bounds fitted on ``df`` (one row per column), then its values clamped."""
+    fitted = fit_outlier_bounds(df, cols, skew_limit).collect()
+    return clamp(df, {r["column"]: (r["lower"], r["upper"]) for r in fitted if r["lower"] is not None})
 
 
 # F16: variance threshold -----------------------------------------------------------

@@ -72,6 +72,8 @@ REGISTRY: dict[str, Query] = {
     "basic_wrangling": Query(rp.q_basic_wrangling, rp.BASIC_WRANGLING_SQL, "F8"),
     "skew_candidates": Query(rp.q_skew_candidates, rp.SKEW_SQL, "F9"),
     "outlier_bounds": Query(rp.q_outlier_bounds, rp.OUTLIER_SQL, "F14"),
+    "outliers_replaced": Query(rp.q_outliers_replaced, rp.OUTLIERS_REPLACED_SQL, "F14"),
+    "missing_dropped": Query(rp.q_missing_dropped, rp.MISSING_DROPPED_SQL, "F11"),
     "variance_threshold": Query(rp.q_variance_threshold, rp.VARIANCE_SQL, "F16"),
     "missingness_test": Query(rp.q_missingness_test, rp.MISSINGNESS_SQL, "F11 F12"),
     "date_parts": Query(rp.q_date_parts, rp.DATE_PARTS_SQL, "P13"),

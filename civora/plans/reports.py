@@ -110,6 +110,42 @@ FROM posts
 """ for c in OUTLIER_COLS)
 
 
+# F14 and F11 with the treated rows as result -------------------------------------------
+def q_outliers_replaced(spark, sf_dir):
+    out = prep.replace_outliers(_raw_posts(spark, sf_dir).select("post_id", *OUTLIER_COLS), OUTLIER_COLS)
+    return out.select("post_id", *[round_half_up(c, 6).alias(c) for c in OUTLIER_COLS])
+
+
+def _bounds_sql(c: str) -> str:
+    q1, q3 = f"quantile_cont({c}, 0.25)", f"quantile_cont({c}, 0.75)"
+    skewed = f"abs(skewness({c})) > 1"
+    return (f"CASE WHEN {skewed} THEN {q1} - 1.5 * ({q3} - {q1}) ELSE avg({c}) - 3 * stddev_samp({c}) END AS {c}_lo, "
+            f"CASE WHEN {skewed} THEN {q3} + 1.5 * ({q3} - {q1}) ELSE avg({c}) + 3 * stddev_samp({c}) END AS {c}_hi")
+
+
+OUTLIERS_REPLACED_SQL = _RAW + f"""
+, b AS (SELECT {", ".join(map(_bounds_sql, OUTLIER_COLS))} FROM posts)
+SELECT post_id, {", ".join(
+    f"CASE WHEN {c} IS NOT NULL THEN {sql_r(f'least(greatest({c}, {c}_lo), {c}_hi)')} END AS {c}" for c in OUTLIER_COLS)}
+FROM posts, b
+"""
+
+MISSING_COLS = ["call_to_action_type", "is_boosted", "engagement_rate", "donation_referrals", "caption_length"]
+
+
+def q_missing_dropped(spark, sf_dir):
+    """Posts with at least 90 % of the columns filled that are not null in most rows (no call-to-action type)."""
+    return prep.drop_missing(_raw_posts(spark, sf_dir).select("post_id", *MISSING_COLS), MISSING_COLS)
+
+
+MISSING_DROPPED_SQL = _RAW + f"""
+, s AS (SELECT {", ".join(f"1 - count({c}) / count(*) <= 0.5 AS keep_{c}" for c in MISSING_COLS)} FROM posts)
+SELECT post_id, {", ".join(MISSING_COLS[1:])} FROM posts, s
+WHERE ({" + ".join(f"(keep_{c} AND {c} IS NOT NULL)::INT" for c in MISSING_COLS)})
+      / ({" + ".join(f"keep_{c}::INT" for c in MISSING_COLS)}) >= 0.9 AND NOT keep_call_to_action_type
+"""
+
+
 # F16 -------------------------------------------------------------------------------
 VAR_COLS = ["engagement_rate", "donation_referrals", "num_hashtags", "caption_length"]
 
