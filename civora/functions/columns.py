@@ -72,6 +72,12 @@ def date_parts(df: DataFrame, col: str, drop: bool = True) -> DataFrame:
     return out.drop(col) if drop else out
 
 
+# P15: '2024-05-01 10:00:00+02:00' -> 2024-05-01 10:00:00, the wall clock time without its zone
+def strip_zone(col) -> Column:
+    """Text with or without an offset, or a timestamp, as TIMESTAMP_NTZ; the clock time stays as written."""
+    return _c(col).cast("timestamp_ntz")
+
+
 # P14
 def month_start(col) -> Column:
     return F.trunc(_c(col), "MM")

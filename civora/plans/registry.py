@@ -20,7 +20,7 @@ class Query:
 
 REGISTRY: dict[str, Query] = {
     "churn_features": Query(churn.churn_features_report, churn.CHURN_FEATURES_SQL,
-                            "IO1 P1 J1 A1 A2 A5 A6 A11 P9 P11 P12 P30 P15 P35"),
+                            "IO1 P1 J1 A1 A2 A5 A6 A11 P9 P11 P12 P30 P35"),
     "churn_rule_tiers": Query(churn.churn_rule_tiers, churn.CHURN_RULE_TIERS_SQL, "P4 P20"),
     "session_windows": Query(iv.q_session_windows, iv.SESSION_WINDOWS_SQL, "W2 W3 A16"),
     "asof_followup_delta": Query(iv.q_asof_followup_delta, iv.ASOF_FOLLOWUP_SQL,
@@ -77,6 +77,7 @@ REGISTRY: dict[str, Query] = {
     "variance_threshold": Query(rp.q_variance_threshold, rp.VARIANCE_SQL, "F16"),
     "missingness_test": Query(rp.q_missingness_test, rp.MISSINGNESS_SQL, "F11 F12"),
     "date_parts": Query(rp.q_date_parts, rp.DATE_PARTS_SQL, "P13"),
+    "zone_stripped": Query(rp.q_zone_stripped, rp.ZONE_STRIPPED_SQL, "P15"),
     "churn_row_factors": Query(rp.q_churn_row_factors, rp.CHURN_ROW_FACTORS_SQL, "P28 P38"),
     "centered_square": Query(rp.q_centered_square, rp.CENTERED_SQL, "P29"),
     "spearman_corr": Query(rp.q_spearman_corr, rp.SPEARMAN_SQL, "W10 S12"),

@@ -211,6 +211,24 @@ FROM donations
 """
 
 
+# Event times written with an offset; the clock time is kept, the zone dropped
+def q_zone_stripped(spark, sf_dir):
+    from civora.functions.columns import strip_zone
+    from civora.sources.tables import read_table
+    events = read_table(spark, sf_dir, "events", ["event_id", "ts"])
+    zone = F.element_at(F.array(F.lit("+02:00"), F.lit("-05:30"), F.lit("Z")), (F.col("event_id") % 3 + 1).cast("int"))
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), zone)
+    wall = strip_zone(text)
+    return events.select("event_id", wall.alias("wall_time"),
+                         F.timestamp_diff("MINUTE", text.cast("timestamp").cast("timestamp_ntz"), wall).alias("offset_minutes"))
+
+
+ZONE_STRIPPED_SQL = """
+SELECT event_id, ts AS wall_time, CASE event_id % 3 WHEN 0 THEN 120 WHEN 1 THEN -330 ELSE 0 END::BIGINT AS offset_minutes
+FROM events
+"""
+
+
 # P28 + P38: ratio features and row-specific churn factors ------------------------------
 ROW_FACTOR_ORDER = ["recency_days", "recency_frequency_ratio", "frequency", "ever_recurring",
                     "overdue_flag"]
