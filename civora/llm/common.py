@@ -6,6 +6,7 @@ import ctypes
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +98,17 @@ def slices(sizes, limit: int):
         yield i, len(sizes)
 
 
+def portions(batch: pa.RecordBatch, column: int, rows: int = 256, size: int = 1 << 20):
+    """Slices of ``batch`` of at most ``rows`` rows whose texts in ``column`` add up to about ``size`` bytes.
+
+    A task that takes a batch apart slice by slice never holds all of its texts as Python objects.
+    """
+    sizes = [n or 0 for n in pc.binary_length(batch.column(column)).to_pylist()]
+    for i, j in slices(sizes, size):
+        for k in range(i, j, rows):
+            yield batch.slice(k, min(rows, j - k))
+
+
 def record_batch(rows: list, ddl: str) -> pa.RecordBatch:
     """Row tuples as an Arrow batch whose fields ``ddl`` names ("a long, b string, ...")."""
     fields = [x.split() for x in ddl.split(",")]

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civora.llm.common import partitions, shared_path, shared_table, slices, text_key, tidy
+from civora.llm.common import partitions, portions, shared_path, shared_table, slices, text_key, tidy
 from civora.llm.graph import components
 
 WORDS = 5
@@ -48,7 +48,7 @@ BLOCK = 400
 ROUNDS = 6
 
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
-_BUFFER = 1 << 21
+_BUFFER = 1 << 19
 _SPACE = re.compile(r"\W+")
 
 
@@ -188,7 +188,7 @@ def _bands(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         shingler = Shingler()
-        for b in batches:
+        for b in (p for whole in batches for p in portions(whole, 1)):
             keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             rows = []
             for key, s in zip(keys, shingler(texts)):
@@ -213,7 +213,7 @@ def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
     def run(batches):
         shingler = Shingler()
-        for b in batches:
+        for b in (p for whole in batches for p in portions(whole, 1)):
             data = [np.sort((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in shingler(b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, pa.binary())], names=["key", "data"])
 

@@ -11,11 +11,14 @@ members agree to full depth is settled at once.
   windows share one, so a run of windows (a block) moves as a single row.
 * Second digit: the 176 bytes that 25 neighbouring windows of a block have in
   common, for blocks in groups that the first digit leaves mixed.
-* Third digit: all LENGTH bytes of each window of the runs still mixed.
-
-Each pass counts its groups with partial sums and joins the counts back, so a
-passage that a third of all texts share is no hot key, and no group is ever in
-one task. Digits are 64-bit hashes; a later digit is only compared within the
+* Third digit: all LENGTH bytes of each window of the runs still mixed. Runs
+  of one content repeat as a whole and are settled before; one text's runs
+  stand for all of them, as partners of the runs that are still open.
+
+Each pass counts its groups with partial sums and joins the counts back, so no
+group is collected in one task. A group that a third of all rows share is one
+key of that join: its rows are split by adaptive execution (skew join), the
+other side holds one row for it. Digits are 64-bit hashes; a later digit is only compared within the
 groups of the earlier ones, which makes 128 bits for every decision.
 
 Equal texts are one text with a count. Texts are compressed and shuffled once,
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +43,7 @@ LENGTH = 200
 ANCHOR = 48
 STEP = 25
 
-_BUFFER = 1 << 21
+_BUFFER = 1 << 20
 _PIECE = 1 << 22  # longer texts are cut into overlapping pieces
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0xD1342543DE82EF95
@@ -225,15 +229,30 @@ def _next_digit(texts: DataFrame, mixed: DataFrame, digits) -> DataFrame:
     return texts.join(todo.hint("shuffle_hash"), "key").select("key", "n", "data", "ats").mapInArrow(tidy(run), _DIGITS)
 
 
-def _pass(rows: DataFrame, full: bool, name: str) -> DataFrame:
+def _pass(rows: DataFrame, full: bool, name: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """(key, at, whole) of the rows in groups of two or more; whole: the group agrees to full depth.
 
     At the last digit a group is a digit and its content, and always whole.
+    ``carry`` names columns of the rows to keep.
     """
     by = ["digit", "content"] if full else ["digit"]
     groups = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"))
     groups = groups.where("n > 1").select(*by, (F.col("lo") == F.col("hi")).alias("whole"))
-    return shared_table(rows.select(*by, "key", "at").join(groups, by).select("key", "at", "whole"), name)
+    names = [*by, *(c for c in carry if c not in by)]
+    return shared_table(rows.select(*names, "key", "at").join(groups, by).select(*carry, "key", "at", "whole"), name)
+
+
+def _settle(mixed: DataFrame, name: str) -> DataFrame:
+    """(key, at, settled, open) of mixed rows (digit, content, key, at).
+
+    settled: another row of the group has the same content, so all its windows
+    repeat. open: the row goes to the next digit; rows of one content go only
+    as those of one text, which other contents of the group are compared with.
+    """
+    text = F.xxhash64("key")
+    cells = mixed.groupBy("digit", "content").agg(F.count(F.lit(1)).alias("n"), F.min(text).alias("one"))
+    return shared_table(mixed.join(cells, ["digit", "content"])
+                        .select("key", "at", (F.col("n") > 1).alias("settled"), (text == F.col("one")).alias("open")), name)
 
 
 _KEPT = "key binary, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept binary"
@@ -281,9 +300,11 @@ def repeats(docs: DataFrame, characters: bool = False) -> DataFrame:
     """
     texts = distinct_texts(docs)
     first = _pass(_first_digit(texts), False, "suffix-first")
-    second = _pass(_next_digit(texts, first.where("not whole"), runs_of), False, "suffix-second")
-    third = _pass(_next_digit(texts, second.where("not whole"), windows_of), True, "suffix-third")
-    found = (first.where("whole").unionByName(second.where("whole")).unionByName(third)
+    second = _pass(_next_digit(texts, first.where("not whole"), runs_of), False, "suffix-second", ("digit", "content"))
+    rest = _settle(second.where("not whole"), "suffix-rest")
+    third = _pass(_next_digit(texts, rest.where("open"), windows_of), True, "suffix-third")
+    repeated = [first.where("whole"), second.where("whole"), rest.where("settled"), third]
+    found = (reduce(DataFrame.unionByName, [t.select("key", "at") for t in repeated])
              .groupBy("key").agg(F.collect_list("at").alias("ats")))
 
     def run(batches):

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civora.llm.common import record_batch, shared_table, tidy
+from civora.llm.common import portions, record_batch, shared_table, tidy
 
 #: Bound of the labelled rows the model is fitted on.
 MAX_LABELS = 12_000
@@ -292,7 +292,21 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "tox
     return docs.mapInArrow(tidy(run), schema)
 
 
-def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more."""
+def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more.
+
+    Rows are dropped inside the task that scores them; no column is added, so
+    no name can clash. Nulls, empty and repeated rows are as in ``score``.
+    """
     model = train(docs, labels)
-    return score(docs, model, out="_toxicity").where(F.col("_toxicity") < threshold).drop("_toxicity")
+    at = docs.columns.index(text_col)
+    lexicon, beta = model.lexicon, model.beta
+
+    def run(batches):
+        import pyarrow as pa
+        own = Model(lexicon, beta)
+        for b in batches:
+            for p in portions(b, at):
+                yield p.filter(pa.array([own.score(t.as_py()) < threshold for t in p.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(tidy(run), docs.schema)

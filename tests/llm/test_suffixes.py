@@ -55,6 +55,14 @@ def test_matches_brute_force(spark, monkeypatch):
     assert first.where("whole").count() and second.where("whole").count() and second.where("not whole").count()
 
 
+def test_settled_runs_leave_one_text(spark):
+    rows = [(1, 1, b"a", 1), (1, 1, b"b", 2), (1, 1, b"b", 9), (1, 2, b"c", 3), (2, 1, b"a", 4), (2, 3, b"d", 5)]
+    mixed = spark.createDataFrame([(d, c, bytearray(k), a) for d, c, k, a in rows], "digit long, content long, key binary, at long")
+    got = {r.at: r for r in S._settle(mixed, "t3").collect()}
+    assert [got[a].settled for a in (1, 2, 9, 3, 4, 5)] == [True] * 3 + [False] * 3
+    assert got[2].open == got[9].open != got[1].open and all(got[a].open for a in (3, 4, 5))
+
+
 def test_pieces_of_long_texts(monkeypatch):
     rnd = random.Random(9)
     text = "".join(rnd.choice("abc ") for _ in range(5000)).encode()
