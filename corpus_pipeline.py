@@ -14,18 +14,29 @@ from civora.llm import mixing, packing, probminhash, suffixes, toxicity
 from civora.llm.common import read, shared_table
 
 
+#: Rows of an Arrow batch: whole documents pass through, and a batch lies in memory on both sides of the pipe.
+BATCH_ROWS = 1_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar, fitted on the labels, does not reject."""
+    _small_batches(spark)
     return toxicity.reject(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
+    _small_batches(spark)
     return probminhash.deduplicate(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that occur more than once; n_chars follows the text."""
+    _small_batches(spark)
     cut = suffixes.remove(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
