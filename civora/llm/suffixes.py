@@ -16,9 +16,8 @@ members agree to full depth is settled at once.
   stand for all of them, as partners of the runs that are still open.
 
 Each pass counts its groups with partial sums and joins the counts back, so no
-group is collected in one task. A group that a third of all rows share is one
-key of that join: its rows are split by adaptive execution (skew join), the
-other side holds one row for it. Digits are 64-bit hashes; a later digit is only compared within the
+group is collected in one task. The rows of a group that holds much of a pass
+are dealt over several keys of that join. Digits are 64-bit hashes; a later digit is only compared within the
 groups of the earlier ones, which makes 128 bits for every decision.
 
 Equal texts are one text with a count. Texts are compressed and shuffled once,
@@ -229,6 +228,22 @@ def _next_digit(texts: DataFrame, mixed: DataFrame, digits) -> DataFrame:
     return texts.join(todo.hint("shuffle_hash"), "key").select("key", "n", "data", "ats").mapInArrow(tidy(run), _DIGITS)
 
 
+def _with_groups(rows: DataFrame, groups: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` (..., key, at) joined with their ``groups`` (by, n, ...), hot groups dealt over several keys.
+
+    A group is hot if it has more than its share, 1 / (4 x partitions), of all
+    grouped rows. Fewer than 4 x partitions groups can be hot: their table is
+    broadcast, and each has as many keys as it has shares.
+    """
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    share = max(1, total // (4 * partitions(rows.sparkSession)))
+    keys = F.ceil(F.col("n") / share).cast("int")
+    hot = groups.where(F.col("n") > share).select(*by, keys.alias("keys"))
+    dealt = (rows.join(F.broadcast(hot), by, "left")
+             .withColumn("deal", F.pmod(F.xxhash64("key", "at"), F.coalesce("keys", F.lit(1))).cast("int")).drop("keys"))
+    return dealt.join(groups.withColumn("deal", F.explode(F.sequence(F.lit(0), keys - 1))), [*by, "deal"])
+
+
 def _pass(rows: DataFrame, full: bool, name: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """(key, at, whole) of the rows in groups of two or more; whole: the group agrees to full depth.
 
@@ -237,9 +252,10 @@ def _pass(rows: DataFrame, full: bool, name: str, carry: tuple[str, ...] = ()) -
     """
     by = ["digit", "content"] if full else ["digit"]
     groups = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"))
-    groups = groups.where("n > 1").select(*by, (F.col("lo") == F.col("hi")).alias("whole"))
+    groups = groups.where("n > 1").select(*by, "n", (F.col("lo") == F.col("hi")).alias("whole"))
     names = [*by, *(c for c in carry if c not in by)]
-    return shared_table(rows.select(*names, "key", "at").join(groups, by).select(*carry, "key", "at", "whole"), name)
+    both = _with_groups(rows.select(*names, "key", "at"), shared_table(groups, name + "-groups"), by)
+    return shared_table(both.select(*carry, "key", "at", "whole"), name)
 
 
 def _settle(mixed: DataFrame, name: str) -> DataFrame:
@@ -251,8 +267,8 @@ def _settle(mixed: DataFrame, name: str) -> DataFrame:
     """
     text = F.xxhash64("key")
     cells = mixed.groupBy("digit", "content").agg(F.count(F.lit(1)).alias("n"), F.min(text).alias("one"))
-    return shared_table(mixed.join(cells, ["digit", "content"])
-                        .select("key", "at", (F.col("n") > 1).alias("settled"), (text == F.col("one")).alias("open")), name)
+    both = _with_groups(mixed.select("digit", "content", "key", "at"), shared_table(cells, name + "-cells"), ["digit", "content"])
+    return shared_table(both.select("key", "at", (F.col("n") > 1).alias("settled"), (text == F.col("one")).alias("open")), name)
 
 
 _KEPT = "key binary, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept binary"
