@@ -5,6 +5,8 @@
 2. A page votes for the generalised tag-class path of its best container.
    Votes are counted per host and path in Spark with partial sums, so a host
    with a third of all pages is no hot key.
+   The best container is widened first: to the article around it, or while
+   what a parent adds is prose too, so headings, leads and sibling parts stay.
 3. A host's winning paths go back to its pages, which are extracted again from
    the containers under those paths.
 
@@ -91,6 +93,17 @@ def _step(tag: str, attrs: str) -> str:
     return tag
 
 
+def _element_ends(html: str, tag: str) -> dict[int, int]:
+    """End of every element of an inline tag by its start; nested elements match from the inside."""
+    open_at, out = [], {}
+    for m in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", html, re.I):
+        if not m.group(1):
+            open_at.append(m.start())
+        elif open_at:
+            out[open_at.pop()] = m.end()
+    return out
+
+
 class Page:
     """Containers and text blocks of one page, in page order."""
 
@@ -98,6 +111,7 @@ class Page:
         self.paths, self.parents, self.steps = ["body"], [-1], [("body",)]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters in links
         self._read(html)
+        self.tops = self._widen()
 
     def _read(self, html: str) -> None:
         stack: list[tuple[str, int, bool, bool]] = []  # tag, container, unwanted, inside an article
@@ -127,7 +141,7 @@ class Page:
             del stack[n:]
             here, out, article = stack[-1][1:] if stack else (0, False, False)
 
-        at = 0
+        at, ends = 0, {}
         while m := _MARKUP.search(html, at):
             add(html[at:m.start()])
             at = m.end()
@@ -164,9 +178,10 @@ class Page:
                 pop(0)  # an unclosed head ends here
             if tag not in _BLOCK and tag not in _OUT:
                 unwanted = not out and bool(attrs) and _unwanted(tag, attrs, article)
-                if unwanted and tag != "a" and re.search(rf"</{tag}\s*>", html[at:at + 20_000], re.I):
-                    depth_end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-                    at = depth_end.end()
+                if unwanted and tag != "a":
+                    if tag not in ends:
+                        ends[tag] = _element_ends(html, tag)
+                    at = ends[tag].get(m.start(), at)  # without an end tag nothing is skipped
                 continue
             flush()
             for n in range(len(stack) - 1, -1, -1):  # implied end tags
@@ -203,13 +218,49 @@ class Page:
             if p.rsplit(">", 1)[-1].startswith(("article", "main")):
                 scores[i] *= 1.5
         i = max(range(len(scores)), key=lambda k: (scores[k], -k))
-        return self.paths[i], scores[i]
+        return self.paths[self.tops[i]], scores[i]
+
+    def _widen(self) -> list[int]:
+        """For every container the outermost one around it that still is main text.
+
+        Inside an article the article; in a main part that part, unless it
+        lists several articles; elsewhere a parent below body, as long as
+        it adds no container of another kind and most of what it adds is no link.
+        """
+        n = len(self.paths)
+        chars, links, articles = [0] * n, [0] * n, [0] * n
+        kinds: list[set[str]] = [set() for _ in range(n)]  # steps of the children that hold text
+        for node, text, linked in self.blocks:
+            chars[node] += len(text)
+            links[node] += linked
+        names = [steps[-1].split(".")[0] for steps in self.steps]
+        for i in range(n - 1, 0, -1):  # a parent comes before its children
+            up = self.parents[i]
+            articles[i] += names[i] == "article"
+            for sums in (chars, links, articles):
+                sums[up] += sums[i]
+            if chars[i]:
+                kinds[up].add(self.steps[i][-1])
+        article, main, tops = [-1] * n, [-1] * n, list(range(n))
+        for i in range(1, n):
+            up = self.parents[i]
+            article[i] = article[up] if article[up] >= 0 else i if names[i] == "article" else -1
+            main[i] = main[up] if main[up] >= 0 else i if names[i] == "main" else -1
+            if main[i] >= 0 and articles[main[i]] < 2:
+                tops[i] = main[i]
+            elif article[i] >= 0:
+                tops[i] = article[i]
+            elif (up > 0 and main[i] < 0 and not articles[up] and kinds[up] <= {self.steps[i][-1]}
+                  and 2 * (links[up] - links[i]) <= chars[up] - chars[i]):
+                tops[i] = tops[up]
+        return tops
 
     def text(self, path: str) -> str:
         """Blocks under every container with this path."""
         inside = [False] * len(self.paths)
-        for i, p in enumerate(self.paths):
-            inside[i] = p == path or (self.parents[i] >= 0 and inside[self.parents[i]])
+        tops = {self.tops[i] for i, p in enumerate(self.paths) if p == path}
+        for i in range(len(self.paths)):
+            inside[i] = i in tops or (self.parents[i] >= 0 and inside[self.parents[i]])
         return "\n".join(t for node, t, _ in self.blocks if inside[node])
 
     def main_text(self, winners: list[str]) -> tuple[str, str | None]:
@@ -263,7 +314,9 @@ def extract(pages: DataFrame, share: float = SHARE) -> DataFrame:
 
     A null or empty html has the empty text; pages without a host (null or
     odd url) vote together; repeated rows give repeated rows; other columns are
-    ignored; an empty table gives no rows.
+    ignored; an empty table gives no rows. Texts are read whole. Of containers
+    with equal scores the first in page order votes; paths with equal votes go
+    by score, then by name.
     """
     winners = shared_table(winning_paths(pages, share), "html-winners")
 

@@ -38,6 +38,38 @@ def test_known_pages():
         assert main(empty) == ""
 
 
+def test_parts_around_the_heaviest_container():
+    long, other = "long body words " * 20, "other part words " * 9
+    body = f"<div class=body><p>{long}</p></div>"
+    want = f"Title\nLead\n{long.strip()}"
+    assert main(wrap(f"<article><h1>Title</h1><p>Lead</p>{body}</article>")) == want
+    assert main(wrap(f"<main><h1>Title</h1><p>Lead</p><article>{body}</article></main>")) == want
+    assert main(wrap(f"<div class=post><h1>Title</h1><p>Lead</p>{body}</div>", NOISE)) == want
+    for a, b in (("section", "section"), ("div class=part", "div")):
+        assert main(wrap(f"<article><{a}><p>{long}</{b}><{a}><p>{other}</{b}></article>")) == f"{long.strip()}\n{other.strip()}"
+    assert main(wrap(f"<div id=w><div class=part><p>{long}</div><div class=part><p>{other}</div></div>")) == f"{long.strip()}\n{other.strip()}"
+    assert main(wrap(f"<div id=w>{body}<div class=teaser><p>Read on</p></div></div>")) == long.strip()
+    listing = f"<main><article><p>{long}</article><article><p>{other}</article></main>"
+    assert main(wrap(listing)) == f"{long.strip()}\n{other.strip()}"  # one path, every container with it
+    assert main("<div>" * 20_000 + "deep") == "deep"
+    assert H.Page(wrap(f"<article><h1>Title</h1>{body}</article>")).best()[0] == "body>article"
+
+
+def test_unwanted_inline_elements():
+    inner = "<span>in</span> " * 3000
+    assert main(f"<article><p>Start <span class=ad>buy {inner} now</span> end</article>") == "Start end"
+    assert main("<article><p>Start <span class=ad>never <b>closed</b></article>") == "Start never closed"
+    assert main("<article><p>" + "<span class=ad>x" * 20_000 + "</article>") == "x" * 20_000
+
+
+def test_two_templates_of_a_host(spark):
+    one = wrap("<article><h1>T</h1><div class=body><p>" + "true words " * 20 + "</p></div></article>")
+    two = wrap("<div class=text><p>" + "old words " * 20 + "</p></div><div class=teaser><p>short</p></div>")
+    rows = [(i, "https://h.example.org/", (one, two)[i % 2]) for i in range(20)] * 2
+    got = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 40 and {r.text for r in got} == {"T\n" + ("true words " * 20).strip(), ("old words " * 20).strip()}
+
+
 def test_consensus_of_a_host(spark):
     good = lambda i: wrap(f"<div class='text t{i}'><p>{'true words ' * 20}{i}</p></div><div class=teaser><p>short</p></div>")
     odd = wrap("<div class='text t9'><p>true</p></div><div class=teaser><p>" + "teaser words " * 30 + "</p></div>")
