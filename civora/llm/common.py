@@ -82,6 +82,14 @@ def tidy(run):
     return task
 
 
+def unused(name: str, *tables: DataFrame) -> str:
+    """``name``, lengthened until no column of ``tables`` is called so (in any case)."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civora.llm.common import shared_table
+from civora.llm.common import shared_table, unused
 
 CAP = 3
 WORD = r"[^\x20\x09-\x0D]+"
@@ -148,27 +148,36 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = CAP, s
     taken or left together. A source without words has target 0. Columns that
     are called like the added ones are replaced; an empty table gives no rows.
     """
-    args = dict(weights=weights, cap=cap, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col)
-    chosen = shared_table(plan(docs, **args), "mix-plan")
     docs = docs.drop("mix_size", "mix_source_size", "mix_target", "mix_copies")
-    size = word_count(F.col(text_col))
-    both = (docs.withColumn("_mix_size", size)
-            .join(chosen, F.col(source_col).eqNullSafe(F.col("_mix_source")), "left"))
-    rank = _order(F.col("_mix_expected"), _uniform(F.col(id_col), seed))
-    key = F.struct(rank, F.col(id_col), F.col("_mix_size"))
-    drawn = rank.isNotNull() & (F.coalesce(key < F.col("_mix_stop"), F.lit(True))
-                                | F.coalesce(key == F.col("_mix_extra"), F.lit(False)))
-    copies = F.coalesce(F.col("_mix_whole"), F.lit(0)) + drawn.cast("long")
-    return both.select(*[docs[c] for c in docs.columns], F.col("_mix_size").alias("mix_size"),
-                       F.coalesce("_mix_total", F.lit(0)).alias("mix_source_size"),
-                       F.coalesce("_mix_target", F.lit(0.0)).alias("mix_target"), copies.alias("mix_copies"))
+    both, at = _drawn(docs, weights, cap, seed, id_col, text_col, source_col)
+    return both.select(*docs.columns, *[F.col(at)[c].alias(c) for c in ("mix_size", "mix_source_size", "mix_target", "mix_copies")])
+
+
+def _drawn(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = CAP, seed: str = SEED, id_col: str = "doc_id",
+           text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, str]:
+    """``docs`` and one more column, a struct of what ``mix`` adds, under a name that ``docs`` does not use."""
+    chosen = shared_table(plan(docs, weights=weights, cap=cap, seed=seed, id_col=id_col, text_col=text_col,
+                               source_col=source_col), "mix-plan")
+    size, own, out = (unused(n, docs) for n in ("_mix_size", "_mix_own", "_mix"))
+    chosen = chosen.select(F.struct(*chosen.columns).alias(own))
+    both = (docs.withColumn(size, word_count(F.col(text_col)))
+            .join(chosen, F.col(source_col).eqNullSafe(F.col(own)["_mix_source"]), "left"))
+    rank = _order(F.col(own)["_mix_expected"], _uniform(F.col(id_col), seed))
+    key = F.struct(rank, F.col(id_col), F.col(size))
+    drawn = rank.isNotNull() & (F.coalesce(key < F.col(own)["_mix_stop"], F.lit(True))
+                                | F.coalesce(key == F.col(own)["_mix_extra"], F.lit(False)))
+    copies = F.coalesce(F.col(own)["_mix_whole"], F.lit(0)) + drawn.cast("long")
+    added = F.struct(F.col(size).alias("mix_size"), F.coalesce(F.col(own)["_mix_total"], F.lit(0)).alias("mix_source_size"),
+                     F.coalesce(F.col(own)["_mix_target"], F.lit(0.0)).alias("mix_target"), copies.alias("mix_copies"))
+    return both.select(*docs.columns, added.alias(out)), out
 
 
 def sample(docs: DataFrame, **args) -> DataFrame:
-    """The mixed corpus: every row of ``docs`` as often as it is taken."""
-    mixed = mix(docs, **args)
-    times = F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))
-    return mixed.where("mix_copies > 0").withColumn("_mix_copy", times).select(*[mixed[c] for c in docs.columns])
+    """The mixed corpus: every row of ``docs`` as often as it is taken; columns may have any names."""
+    both, at = _drawn(docs, **args)
+    copies = F.col(at)["mix_copies"]
+    times = F.explode(F.sequence(F.lit(1), copies.cast("int")))
+    return both.where(copies > 0).select(*docs.columns, times.alias(at)).select(*docs.columns)
 
 
 def oracle(docs: str = "documents") -> str:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civora.llm.common import partitions, portions, shared_path, shared_table, slices, text_key, tidy
+from civora.llm.common import partitions, portions, shared_path, shared_table, slices, text_key, tidy, unused
 from civora.llm.graph import components
 
 WORDS = 5
@@ -428,12 +428,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
 
 
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each class: the one of the smallest id; of rows that repeat it, any one."""
-    near = near_duplicates(docs, threshold, id_col, text_col).where("kept")
-    keep = (near.groupBy(F.col(id_col).alias("_near_id"), F.col("key").alias("_near_key"))
-            .agg(F.first("class_id").alias("_near_class"), F.count(F.lit(1)).alias("_near_n"), F.max("class_size").alias("_near_size")))
+    """One row of each class: the one of the smallest id; of rows that repeat it, any one.
+
+    Columns may have any names: the ones needed on the way get names that ``docs`` does not use.
+    """
+    node, key, n, size = (unused(x, docs) for x in ("_near_id", "_near_key", "_near_n", "_near_size"))
+    near = near_duplicates(docs.select(id_col, text_col), threshold, id_col, text_col).where("kept")
+    keep = (near.groupBy(F.col(id_col).alias(node), F.col("key").alias(key))
+            .agg(F.count(F.lit(1)).alias(n), F.max("class_size").alias(size)))
     keep = shared_table(keep, "near-keep")
-    rows = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_near_id")) & (text_key(text_col) == F.col("_near_key")))
-    single = rows.where("_near_n = 1 or _near_size = 1")
-    repeated = rows.where("_near_n > 1 and _near_size > 1").dropDuplicates(["_near_id", "_near_key"])
-    return single.unionByName(repeated).select(*docs.columns)
+    rows = docs.join(keep, F.col(id_col).eqNullSafe(F.col(node)) & (text_key(text_col) == F.col(key)))
+    several = (F.col(n) > 1) & (F.col(size) > 1)
+    return rows.where(~several).unionByName(rows.where(several).dropDuplicates([node, key])).select(*docs.columns)

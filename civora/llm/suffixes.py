@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civora.llm.common import partitions, shared_path, shared_table, slices, text_key, tidy
+from civora.llm.common import partitions, shared_path, shared_table, slices, text_key, tidy, unused
 from civora.llm.probminhash import mix64
 
 LENGTH = 200
@@ -364,12 +364,14 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def remove(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated passages cut out of the texts, at whole characters; a null text stays null."""
-    key = text_key(text_col).alias("_suffix_key")
-    rows = docs.select("*", key)
+    """``docs`` with repeated passages cut out of the texts, at whole characters; a null text stays null.
+
+    Columns may have any names: the ones needed on the way get names that ``docs`` does not use.
+    """
+    key, null, cut = (unused(n, docs) for n in ("_suffix_key", "_suffix_null", "_suffix_text"))
     got = repeats(docs.select(text_key(text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")),
-                  characters=True).select(F.col("key").alias("_suffix_key"), F.decode("kept", "UTF-8").alias("_suffix_text"))
-    null = F.col(text_col).isNull().alias("_suffix_null")
-    both = rows.select(*[c for c in docs.columns if c != text_col], null, "_suffix_key").join(got, "_suffix_key")
-    text = F.when(~F.col("_suffix_null"), F.col("_suffix_text")).alias(text_col)
-    return both.select(*[text if c == text_col else F.col(c) for c in docs.columns])
+                  characters=True).select(F.col("key").alias(key), F.decode("kept", "UTF-8").alias(cut))
+    rows = docs.select(*[c for c in docs.columns if c != text_col], F.col(text_col).isNull().alias(null),
+                       text_key(text_col).alias(key))
+    text = F.when(~F.col(null), F.col(cut)).alias(text_col)
+    return rows.join(got, key).select(*[text if c == text_col else F.col(c) for c in docs.columns])

@@ -38,3 +38,25 @@ def test_stages(spark):
 def test_registered():
     assert "pipeline" in E.queries() and (C.ORACLE_SQL is None) == ("pipeline" not in E.oracle_sql())
     assert all(any(n.startswith(f"op{k}_") for n in E.queries()) for k in range(1, 11))
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Every stage but the last over nulls, an empty text, repeated rows and columns named like its own."""
+    names = ["_suffix_key", "_SUFFIX_TEXT", "_suffix_null", "_near_id", "_near_key", "_near_n", "_near_size", "_mix", "_mix_own",
+             "_mix_size", "_mix_source", "_mix_total", "mix_size", "mix_copies", "_toxicity", "key", "id", "band", "component"]
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, long, "en", "a"), (1, long, "en", "a"), (2, None, None, None), (3, "", "en", "a"), (4, "a few plain words", "de", "b"),
+            (None, "words without an id", "en", "b")]
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame([r + tuple(f"{n}{i}" for n in names) for i, r in enumerate(rows)], schema)
+    for table in (docs, docs.limit(0)):
+        for name, stage in C.STAGES[:-1]:
+            out = stage(spark, table, SF)
+            assert out.columns == docs.columns, name
+            got = out.collect()
+            assert all(r["_near_n"] == "_near_n" + r["mix_copies"][10:] for r in got), name  # extra columns stay with their rows
+            if name == "toxicity":
+                assert len(got) == table.count()
+            if name == "MinHash near-dedup":
+                assert sorted(str(r.doc_id) for r in got) == (["1", "2", "3", "4", "None"] if got else [])
+        C.STAGES[-1][1](spark, table, SF).collect()
