@@ -2,13 +2,16 @@
 
 The content view sees how words are written: the mix of word masks (letters,
 capitals, digits, attached symbols), how varied and how long words are. The
-metadata view sees language, source, length and layout. Each view's classifier
-is fitted on the labelled rows; in every round each labels the unlabelled rows
-it is surest of, and these join the other's training rows. Both scores are
-then calibrated on labelled rows kept aside and combined to score all rows.
-
-What is fitted is bounded: at most ``MAX_LABELS`` labelled and ``MAX_POOL``
-unlabelled rows, those with the smallest id hashes.
+metadata view sees language, source, length and number of lines, nothing of
+the text itself. Each view's classifier is fitted on the labelled rows; in
+every round each scores all unlabelled rows and labels the ``BATCH`` it is
+surest of, and these join the other's training rows. Both scores are then
+calibrated on labelled rows kept aside and combined to score all rows.
+
+The unlabelled rows are a table: a round counts the confidences per view and
+class in Spark, reads the thresholds off these counts and fetches the rows
+above them. At most ``MAX_LABELS`` labelled rows, those with the smallest id
+hashes, and ``rounds * BATCH`` pseudo-labelled rows a view are fitted on.
 """
 
 from __future__ import annotations
@@ -23,15 +26,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civora.llm.common import portions, shared_table, tidy
 from civora.llm.toxicity import held_out, logistic
 
 MAX_LABELS = 9_000
-MAX_POOL = 6_000
 ROUNDS = 4
-#: Share of the pool a view may label in a round, and how sure it must be.
-SHARE, SURE = 0.1, 0.95
+#: Rows a view labels in a round (split by the classes' shares), and how sure it must be.
+BATCH, SURE = 400, 0.95
 
-_MASKS, _LANGS, _SOURCES = 128, 8, 32
+#: Languages and sources are hashed: where there are more than these, some share a weight.
+_MASKS, _LANGS, _SOURCES = 128, 64, 512
+#: Cells of the confidence counts, between SURE and the largest logit.
+_CELLS, _LARGEST = 1_024, 15.0
 _UPPER, _LOWER, _DIGIT = re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), re.compile(r"[a-zß-öø-ÿ]+"), re.compile(r"\d+")
 _REPEAT = re.compile(r"([^\w\s])\1+")
 
@@ -69,17 +75,18 @@ def content_view(text: str | None, known: dict | None = None) -> np.ndarray:
 
 
 def metadata_view(text: str | None, lang: str | None, source: str | None) -> np.ndarray:
-    """Hashed language and source, length and layout."""
+    """Hashed language and source, length, number of lines; ``spread`` turns the hashes into indicators."""
     text = text or ""
-    out = np.zeros(_LANGS + _SOURCES + 8)
-    out[zlib.crc32((lang or "").encode()) % _LANGS] = 1
-    out[_LANGS + zlib.crc32((source or "").encode()) % _SOURCES] = 1
-    lines = text.split("\n")
-    n, at = max(1, len(text)), _LANGS + _SOURCES
-    out[at:] = (np.log1p(len(text)) / 10, np.log1p(len(lines)) / 5, min(5.0, len(text) / len(lines) / 200),
-                1 - len(set(lines)) / len(lines), text.count(" ") / n, sum(map(text.count, ".,;:")) / n * 10,
-                sum(map(text.count, "!?|#$%&*@<>{}[]")) / n * 10,
-                sum(len(x) for x in _UPPER.findall(text[:1] + text)) / n)
+    return np.array([zlib.crc32((lang or "").encode()) % _LANGS, zlib.crc32((source or "").encode()) % _SOURCES,
+                     np.log1p(len(text)) / 10, np.log1p(text.count("\n")) / 5])
+
+
+def spread(m: np.ndarray) -> np.ndarray:
+    """Rows of ``metadata_view`` with one indicator for each language and source slot."""
+    out, rows = np.zeros((len(m), _LANGS + _SOURCES + 2)), np.arange(len(m))
+    out[rows, m[:, 0].astype(int)] = 1
+    out[rows, _LANGS + m[:, 1].astype(int)] = 1
+    out[:, -2:] = m[:, 2:]
     return out
 
 
@@ -96,7 +103,7 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 5.0) -> np.ndarray:
 
 
 def _logit(w: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return np.clip(x @ w[1:] + w[0], -15, 15)
+    return np.clip(x @ w[1:] + w[0], -_LARGEST, _LARGEST)
 
 
 @dataclass
@@ -114,62 +121,178 @@ class Model:
         return 1 / (1 + np.exp(-np.column_stack([a, b, z])))
 
 
-def cotrain(views: list[np.ndarray], y: np.ndarray, fold: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS) -> Model:
-    """Fit on rows of fold 0 and 1, exchange pseudo-labels over ``pool``, calibrate on fold 2."""
+def _cells(weights: list[np.ndarray], views: list[np.ndarray], free: np.ndarray) -> np.ndarray:
+    """Per (view, label) and row the cell of its confidence, -1 where it is below SURE or taken.
+
+    Row 2k + label is what view k says; ``free[k]`` marks the rows that view k may still label.
+    """
+    low = np.log(SURE / (1 - SURE))
+    out = []
+    for w, x, f in zip(weights, views, free):
+        z = _logit(w, x)
+        for side in (-z, z):
+            cell = np.minimum((side - low) / (_LARGEST - low) * _CELLS, _CELLS - 1).astype(int)
+            out.append(np.where(f & (side >= low), cell, -1))
+    return np.array(out)
+
+
+def _counts(cells: np.ndarray) -> np.ndarray:
+    return np.array([np.bincount(c[c >= 0], minlength=_CELLS) for c in cells])
+
+
+def _cuts(counts: np.ndarray, rate: float) -> list[tuple[int, float]]:
+    """Per (view, label) the cell from which rows are taken and the share of that cell that still fits."""
+    out = []
+    for i, n in enumerate(counts):
+        room = int(np.ceil(BATCH * (rate if i % 2 else 1 - rate)))
+        above = np.cumsum(n[::-1])[::-1] - n  # rows in higher cells
+        fits = np.flatnonzero(above < room)
+        at = int(fits[0])
+        out.append((at, min(1.0, (room - above[at]) / n[at]) if n[at] else 1.0))
+    return out
+
+
+def _above(cells: np.ndarray, u: np.ndarray, cuts: list[tuple[int, float]]) -> np.ndarray:
+    """Rows above each threshold; of its own cell those whose draw ``u`` lies below the share."""
+    return np.array([(c > at) | ((c == at) & (u < part)) for c, (at, part) in zip(cells, cuts)])
+
+
+class ArrayPool:
+    """Unlabelled rows in memory; the counterpart of ``TablePool`` in tests."""
+
+    def __init__(self, views: list[np.ndarray]):
+        self.views, self.u = views, np.arange(len(views[0])) * 0.6180339887 % 1
+        self.free = np.ones((2, len(self.u)), bool)
+
+    def surest(self, weights: list[np.ndarray], rate: float) -> list[tuple[int, int, np.ndarray]]:
+        """(view that labels, label, the other view of the rows) of this round; they are then taken."""
+        cells = _cells(weights, self.views, self.free)
+        rows = _above(cells, self.u, _cuts(_counts(cells), rate))
+        for i, r in enumerate(rows):
+            self.free[i // 2] &= ~r
+        return [(i // 2, i % 2, self.views[1 - i // 2][r]) for i, r in enumerate(rows)]
+
+
+def _matrix(column: pa.Array, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1).astype(float)
+
+
+class TablePool:
+    """Unlabelled rows (key, u, c, m) in Spark: two passes a round, the counts first, then the rows above the cuts."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows, self.taken = rows, [[], []]
+
+    def _scan(self, weights, finish, schema: str) -> DataFrame:
+        taken = [np.array(t, np.int64) for t in self.taken]
+
+        def run(batches):
+            for b in batches:
+                if b.num_rows:
+                    key, u = (b.column(i).to_numpy() for i in (0, 1))
+                    views = [_matrix(b.column(2), np.float32), spread(_matrix(b.column(3), np.float32))]
+                    yield from finish(b, u, _cells(weights, views, np.array([~np.isin(key, t) for t in taken])))
+
+        return self.rows.select("key", "u", "c", "m").mapInArrow(run, schema)
+
+    def surest(self, weights: list[np.ndarray], rate: float) -> list[tuple[int, int, np.ndarray]]:
+        """As ``ArrayPool.surest``; the driver gets 4 * 1,024 counts and about 2 * BATCH rows."""
+        names = ["side", "cell", "n"]
+
+        def count(b, u, cells):
+            n = _counts(cells)
+            side, cell = np.nonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (side, cell, n[side, cell])], names=names)
+
+        counts = np.zeros((4, _CELLS), int)
+        found = self._scan(weights, count, "side long, cell long, n long").groupBy("side", "cell").agg(F.sum("n").alias("n"))
+        for r in found.collect():
+            counts[r["side"], r["cell"]] = r["n"]
+        cuts = _cuts(counts, rate)
+
+        def fetch(b, u, cells):
+            for side, keep in enumerate(_above(cells, u, cuts)):
+                got = b.filter(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([pa.array([side] * got.num_rows, pa.int64()), got.column(0),
+                                                  got.column(2 if side // 2 else 3)], names=["side", "key", "view"])
+
+        rows = self._scan(weights, fetch, "side long, key long, view binary").orderBy("side", "key").collect()
+        out = []
+        for side in range(4):
+            mine = [r for r in rows if r["side"] == side]
+            self.taken[side // 2] += [r["key"] for r in mine]
+            if mine:
+                x = np.array([np.frombuffer(r["view"], np.float32) for r in mine], float)
+                out.append((side // 2, side % 2, x if side // 2 else spread(x)))
+        return out
+
+
+def cotrain(views: list[np.ndarray], y: np.ndarray, fold: np.ndarray, pool, rounds: int = ROUNDS) -> Model:
+    """Fit on rows of fold 0 and 1, exchange pseudo-labels over ``pool`` (a pool or arrays), calibrate on fold 2."""
+    pool = ArrayPool(pool) if isinstance(pool, list) else pool
     fit, held = fold < 2, fold == 2
     known = [([v[fit]], [y[fit]]) for v in views]
-    free = [np.ones(len(pool[0]), bool) for _ in views]
     rate = y[fit].mean()
     for turn in range(rounds + 1):
         weights = [_fit(np.concatenate(xs), np.concatenate(ys)) for xs, ys in known]
-        if turn == rounds or not len(pool[0]):
+        if turn == rounds:
             break
-        for k, w in enumerate(weights):
-            p, other = 1 / (1 + np.exp(-_logit(w, pool[k]))), 1 - k
-            for label, sure, share in ((1.0, p, rate), (0.0, 1 - p, 1 - rate)):
-                ranked = np.argsort(-sure, kind="stable")
-                ranked = ranked[(sure[ranked] >= SURE) & free[other][ranked]][:int(np.ceil(SHARE * share * len(p)))]
-                free[other][ranked] = False
-                known[other][0].append(pool[other][ranked])
-                known[other][1].append(np.full(len(ranked), label))
+        for view, label, rows in pool.surest(weights, rate):
+            known[1 - view][0].append(rows)
+            known[1 - view][1].append(np.full(len(rows), float(label)))
     both = np.column_stack([_logit(w, v) for w, v in zip(weights, views)])
     ok = held if 0 < y[held].sum() < held.sum() else fit
     return Model(*weights, _fit(both[ok], y[ok], 1.0))
 
 
-def _views(docs: DataFrame, keep: str) -> list:
+def view_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, c, m): both views of every row, in single precision."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("c", T.BinaryType()), T.StructField("m", T.BinaryType())])
+
     def run(batches):
         known: dict = {}
-        for b in batches:
-            text, lang, source = (b.column(i).to_pylist() for i in range(3))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([content_view(t, known).tobytes() for t in text], pa.binary()),
-                 pa.array([metadata_view(*r).tobytes() for r in zip(text, lang, source)], pa.binary()),
-                 b.column(3), b.column(4)], names=["c", "m", "y", "fold"])
+        for batch in batches:
+            for b in portions(batch, 1):
+                text, lang, source = (b.column(i).to_pylist() for i in (1, 2, 3))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array([content_view(t, known).astype(np.float32).tobytes() for t in text], pa.binary()),
+                     pa.array([metadata_view(*r).astype(np.float32).tobytes() for r in zip(text, lang, source)], pa.binary())],
+                    names=["doc_id", "c", "m"])
+
+    return docs.select("doc_id", "text", "lang", "source").mapInArrow(tidy(run), schema)
 
-    return docs.select("text", "lang", "source", "y", "fold").mapInArrow(run, "c binary, m binary, y int, fold int").collect()
+
+def unlabelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, u, c, m) of the rows outside the held-out part whose id has no label; rows that look alike in both views count once.
+
+    ``key`` is the hash of the views and ``u`` a draw in [0, 1) made from it.
+    """
+    rows = view_rows(docs.where(F.col("doc_id").isNotNull() & ~held_out()))
+    rows = rows.join(labels.select("doc_id").distinct(), "doc_id", "left_anti").groupBy("c", "m").agg(F.count(F.lit(1)).alias("n"))
+    key = F.xxhash64("c", "m")
+    return rows.select(key.alias("key"), (F.pmod(F.xxhash64(F.lit("draw"), key), F.lit(1 << 30)) / (1 << 30)).alias("u"), "c", "m")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model | None:
-    """The co-trained model, or None if the labels do not hold both classes."""
+    """The co-trained model, or None if the labels do not hold both classes.
+
+    An id with several labels has the largest, an id with several rows in
+    ``docs`` the row whose views sort first; null ids are left out; ties of
+    confidence at a threshold are settled by a hash of the views.
+    """
     hashed = F.xxhash64("doc_id")
     train_ids = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = (train_ids.groupBy("doc_id").agg(F.max(label).cast("int").alias("y")).orderBy(hashed, "doc_id").limit(MAX_LABELS)
              .withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(3)).cast("int")))
-    pool = (docs.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out()).distinct()
-            .join(labels.select("doc_id").distinct(), "doc_id", "left_anti").orderBy(hashed, "doc_id").limit(MAX_POOL)
-            .select("doc_id", F.lit(None).cast("int").alias("y"), F.lit(-1).alias("fold")))
-    chosen = F.broadcast(known.unionByName(pool))  # at most MAX_LABELS + MAX_POOL ids
-    rows = _views(docs.select("doc_id", "text", "lang", "source").join(chosen, "doc_id"), label)
-    if not rows:
-        return None
-    view = [np.array([np.frombuffer(r[k]) for r in rows]) for k in ("c", "m")]
-    y = np.array([-1 if r["y"] is None else r["y"] for r in rows], float)
-    fold = np.array([r["fold"] for r in rows])
-    marked = y >= 0
-    if not 0 < y[marked & (fold < 2)].sum() < (marked & (fold < 2)).sum():
+    known = F.broadcast(known)  # at most MAX_LABELS ids
+    rows = (view_rows(docs.join(known, "doc_id", "left_semi")).join(known, "doc_id")
+            .groupBy("doc_id", "y", "fold").agg(F.min(F.struct("c", "m")).alias("v")).orderBy("doc_id").collect())
+    y, fold = (np.array([r[k] for r in rows], float) for k in ("y", "fold"))
+    if not 0 < y[fold < 2].sum() < (fold < 2).sum():
         return None
-    return cotrain([v[marked] for v in view], y[marked], fold[marked], [v[~marked] for v in view])
+    view = [np.array([np.frombuffer(r["v"][k], np.float32) for r in rows], float) for k in ("c", "m")]
+    pool = shared_table(unlabelled(docs, labels), "quality-pool")
+    return cotrain([view[0], spread(view[1])], y, fold, TablePool(pool))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -190,7 +313,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 got = np.full((b.num_rows, 3), 0.5)
             else:
                 got = model.scores(np.array([content_view(t, known) for t in text]).reshape(b.num_rows, -1),
-                                   np.array([metadata_view(*r) for r in zip(text, lang, source)]).reshape(b.num_rows, -1))
+                                   spread(np.array([metadata_view(*r) for r in zip(text, lang, source)]).reshape(-1, 4)))
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(got[:, k]) for k in range(3)]], names=["doc_id", *names])
 
     return docs.select("doc_id", "text", "lang", "source").mapInArrow(run, schema)
