@@ -212,16 +212,15 @@ def q_yeo_johnson_fit(spark, sf_dir):
     return table.withColumn("chosen", F.abs(F.col("lambda") - F.lit(lam)) < 1e-12)
 
 
-# F13 + F17: iterative imputation of the incomplete numeric post columns ------------------------------------
+# F13 + F17: the numeric post columns chosen by type, gaps filled by the chain -------------------------------
 def q_iterative_impute(spark, sf_dir):
-    from civora.operators.prep import iterative_impute, split_by_type
+    """Every post with its numeric columns, gaps filled by the chain over all of them."""
+    from civora.operators.imputation import chained_impute
+    from civora.operators.prep import split_by_type
     posts = standin(spark, sf_dir, "posts")
     types = split_by_type(posts, drop=["post_id"])
     nums = [c for c in ["engagement_rate", "donation_referrals", "caption_length"] if c in types["numeric"]]
-    out = iterative_impute(posts.select(*nums), nums, rounds=2)
-    return out.agg(F.count(F.lit(1)).alias("rows"),
-                   *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in nums],
-                   *[F.avg(c).alias(f"{c}_mean") for c in nums])
+    return chained_impute(posts.select("post_id", *nums), nums)
 
 
 # Model selection on the churn task -------------------------------------------------

@@ -74,6 +74,8 @@ REGISTRY: dict[str, Query] = {
     "outlier_bounds": Query(rp.q_outlier_bounds, rp.OUTLIER_SQL, "F14"),
     "outliers_replaced": Query(rp.q_outliers_replaced, rp.OUTLIERS_REPLACED_SQL, "F14"),
     "missing_dropped": Query(rp.q_missing_dropped, rp.MISSING_DROPPED_SQL, "F11"),
+    "chained_impute": Query(rp.q_chained_impute, rp.CHAINED_IMPUTE_SQL, "F13"),
+    "missing_filled": Query(rp.q_missing_filled, rp.MISSING_FILLED_SQL, "F12 F13"),
     "variance_threshold": Query(rp.q_variance_threshold, rp.VARIANCE_SQL, "F16"),
     "missingness_test": Query(rp.q_missingness_test, rp.MISSINGNESS_SQL, "F11 F12"),
     "date_parts": Query(rp.q_date_parts, rp.DATE_PARTS_SQL, "P13"),

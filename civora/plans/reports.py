@@ -146,6 +146,57 @@ WHERE ({" + ".join(f"(keep_{c} AND {c} IS NOT NULL)::INT" for c in MISSING_COLS)
 """
 
 
+# rows with their gaps filled ----------------------------------------------
+CHAIN_COLS = ["engagement_rate", "donation_referrals", "caption_length"]
+
+
+def q_chained_impute(spark, sf_dir):
+    """Every post; the one incomplete column is regressed on the two others."""
+    from civora.operators.imputation import chained_impute
+    out = chained_impute(_raw_posts(spark, sf_dir).select("post_id", *CHAIN_COLS), CHAIN_COLS)
+    return out.select("post_id", *[round_half_up(c, 6).alias(c) for c in CHAIN_COLS])
+
+
+def _chain_sql(posts: str) -> str:
+    return f"""
+, m AS (SELECT avg(engagement_rate) AS my, avg(donation_referrals) FILTER (WHERE engagement_rate IS NOT NULL) AS ma,
+               avg(caption_length) FILTER (WHERE engagement_rate IS NOT NULL) AS mb,
+               var_pop(donation_referrals) FILTER (WHERE engagement_rate IS NOT NULL) AS saa,
+               var_pop(caption_length) FILTER (WHERE engagement_rate IS NOT NULL) AS sbb,
+               covar_pop(donation_referrals, caption_length) FILTER (WHERE engagement_rate IS NOT NULL) AS sab,
+               covar_pop(engagement_rate, donation_referrals) AS say, covar_pop(engagement_rate, caption_length) AS sby FROM {posts})
+, w AS (SELECT *, (say * sbb - sby * sab) / (saa * sbb - sab * sab) AS wa, (sby * saa - say * sab) / (saa * sbb - sab * sab) AS wb FROM m)
+SELECT post_id, {sql_r("coalesce(engagement_rate, my + wa * (donation_referrals - ma) + wb * (caption_length - mb))")} AS engagement_rate,
+       {sql_r("donation_referrals")} AS donation_referrals, {sql_r("caption_length")} AS caption_length
+FROM {posts}, w
+"""
+
+
+CHAINED_IMPUTE_SQL = _RAW + _chain_sql("posts")
+
+
+def q_missing_filled(spark, sf_dir):
+    """Posts after the test of the gaps against the donation value: biased gaps dropped, the others filled."""
+    from civora.operators.imputation import missing_fill
+    posts = _raw_posts(spark, sf_dir).select("post_id", "estimated_donation_value", *CHAIN_COLS)
+    out = missing_fill(posts, CHAIN_COLS, "estimated_donation_value")
+    return out.select("post_id", *[round_half_up(c, 6).alias(c) for c in CHAIN_COLS])
+
+
+# The 95 % point of Student's distribution by its expansion around the normal one (degrees of freedom are in the hundreds).
+MISSING_FILLED_SQL = _RAW + """
+, g AS (SELECT engagement_rate IS NULL AS gap, count(estimated_donation_value) AS n, avg(estimated_donation_value) AS mean,
+               var_samp(estimated_donation_value) AS v FROM posts GROUP BY 1)
+, t AS (SELECT abs(a.mean - b.mean) / sqrt(a.v / a.n + b.v / b.n) AS stat, a.n + b.n AS n,
+               (a.v / a.n + b.v / b.n) ** 2 / ((a.v / a.n) ** 2 / (a.n - 1) + (b.v / b.n) ** 2 / (b.n - 1)) AS df
+        FROM g a, g b WHERE a.gap AND NOT b.gap)
+, z AS (SELECT 1.6448536269514722 AS z)
+, d AS (SELECT coalesce((SELECT stat >= CASE WHEN n >= 200000 THEN z ELSE z + (z ** 3 + z) / (4 * df)
+                                             + (5 * z ** 5 + 16 * z ** 3 + 3 * z) / (96 * df ** 2) END FROM t, z), false) AS biased)
+, kept AS (SELECT posts.* FROM posts, d WHERE NOT (biased AND engagement_rate IS NULL))
+""" + _chain_sql("kept")
+
+
 # F16 -------------------------------------------------------------------------------
 VAR_COLS = ["engagement_rate", "donation_referrals", "num_hashtags", "caption_length"]
 
