@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from civora.functions import constants as K
 from civora.functions.columns import month_start, pct_change, round_half_up, sql_r
-from civora.operators.joins import bounded_broadcast
+from civora.operators.joins import bounded_broadcast, staged
 from civora.sources.standins import duck_cte, standin
 
 OUTCOMES = {"education": "edu", "health": "health"}
 WINDOWS = {"3m": 3, "6m": 6}
+PCT_CHANGES = [f"{a}_pct_change_{w}" for a in OUTCOMES.values() for w in WINDOWS]
 VALUE_COLS = {"edu": "avg_education_progress", "health": "avg_health_score",
               "sessions": "process_recording_count", "incidents": "incident_count"}
 
@@ -188,14 +189,14 @@ def impact_statements(alloc: DataFrame, effects: DataFrame, sites: DataFrame) ->
     """Allocation x matching significant effect -> statement row.
 
     ``effects`` holds at most (areas x outcomes x windows) rows and is
-    broadcast behind a size check; ``sites`` is a per-site lookup joined by key.
+    broadcast behind a size check, and so is ``sites``, a per-site lookup.
     """
     eff = bounded_broadcast(effects.where("significant").select(
         "program_area", "outcome", "window_months", "coef", "ci_low", "ci_high"), 100_000)
     base_col = F.when(F.col("outcome") == "education", F.col("edu_baseline")) \
                 .otherwise(F.col("health_baseline"))
     j = (alloc.join(eff, "program_area").where(base_col.isNotNull())
-              .join(sites.select("site_id", F.col("name").alias("site_name")), "site_id", "left"))
+              .join(bounded_broadcast(sites.select("site_id", F.col("name").alias("site_name"))), "site_id", "left"))
     la = F.log1p("amount_allocated")
     est = F.col("coef") * la
     lo = F.least(F.abs(F.col("ci_low") * la), F.abs(F.col("ci_high") * la))
@@ -219,10 +220,21 @@ def impact_statements(alloc: DataFrame, effects: DataFrame, sites: DataFrame) ->
 
 
 def q_impact_statements(spark, sf_dir):
-    alloc = allocation_outcomes(spark, sf_dir)
+    return outcome_statements(statement_outcomes(spark, sf_dir), standin(spark, sf_dir, "sites"))
+
+
+def outcome_statements(alloc: DataFrame, sites: DataFrame) -> DataFrame:
+    """Statements of ``alloc`` from its own significant effects, rounded to 2 decimals."""
+def statement_outcomes(spark, sf_dir) -> DataFrame:
+    """What effects and statements need of the allocation outcomes, computed once."""
+    return staged(allocation_outcomes(spark, sf_dir).select(
+        "supporter_id", "site_id", "program_area", "amount_allocated", "log_amount", "edu_baseline",
+        "health_baseline", *PCT_CHANGES))
+
+
     eff = area_slope_effects(alloc).withColumn("coef", round_half_up("coef", 2)) \
         .withColumn("ci_low", round_half_up("ci_low", 2)).withColumn("ci_high", round_half_up("ci_high", 2))
-    return impact_statements(alloc, eff, standin(spark, sf_dir, "sites"))
+    return impact_statements(alloc, eff, sites)
 
 
 IMPACT_STATEMENTS_SQL = duck_cte("sites") + "," + _EFFECT_CTE.split("WITH ", 1)[1] + f"""
