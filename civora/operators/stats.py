@@ -129,25 +129,46 @@ def norm_sf2(z: float) -> float:
 # ---------------------------------------------------------------------------
 
 
-def _moment_row(df: DataFrame, cols: list[str]):
+def _batch_sums(df: DataFrame, cols: list[str], size: int, sums) -> np.ndarray:
+    """Sum over all rows of ``sums(x)``, ``size`` numbers from a batch's matrix x (rows by ``cols``).
+
+    Each task adds up its Arrow batches and gives one vector; Spark adds the vectors.
+    """
+    import pyarrow as pa
+
+    def run(batches):
+        total = np.zeros(size)
+        for b in batches:
+            if b.num_rows:
+                total += sums(np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["s"])
+
+    parts = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]) \
+        .mapInArrow(run, "s array<double>").select(F.posexplode("s").alias("at", "v"))
+    out = np.zeros(size)
+    for r in parts.groupBy("at").agg(F.sum("v").alias("v")).collect():      # ``size`` rows
+        out[r["at"]] = r["v"]
+    return out
+
+
+def _moments(df: DataFrame, cols: list[str]) -> tuple[int, np.ndarray]:
+    """Number of rows and the matrix of the sums of products of ``cols``, which hold no nulls."""
     k = len(cols)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i in range(k):
-        for j in range(i, k):
-            aggs.append(F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"m_{i}_{j}"))
-    return df.agg(*aggs).first(), k
+    v = _batch_sums(df, cols, k * k + 1, lambda x: np.append((x.T @ x).ravel(), len(x)))
+    return int(round(v[-1])), v[:-1].reshape(k, k)
 
 
 def demean_within(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
     """Frisch-Waugh-Lovell: subtract group means (absorbs group fixed effects).
 
-    Group means are a per-group table (one row per site), joined back by key;
-    AQE broadcasts it when its measured size is small, otherwise it is a
-    shuffle join on the group key.
+    Group means are a per-group table (one row per site), computed once and
+    joined back by key; it is broadcast behind a row-count check, otherwise it
+    is a shuffle join on the group key.
     """
+    from civora.operators.joins import bounded_broadcast
     means = df.groupBy(group).agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols],
                                   F.count(F.lit(1)).alias("_g_n"))
-    out = df.join(means, group)
+    out = df.join(bounded_broadcast(means), group)
     for c in cols:
         out = out.withColumn(c, F.col(c) - F.col(f"_mu_{c}"))
     return out.drop(*[f"_mu_{c}" for c in cols])
@@ -173,12 +194,7 @@ def ols(df: DataFrame, y: str, xs: list[str], absorb: str | None = None,
     if intercept:
         data = data.withColumn("const", F.lit(1.0))
     cols = names + [y]
-    row, k1 = _moment_row(data, cols)
-    n = row["n"]
-    M = np.zeros((k1, k1))
-    for i in range(k1):
-        for j in range(i, k1):
-            M[i, j] = M[j, i] = row[f"m_{i}_{j}"] or 0.0
+    n, M = _moments(data, cols)
     k = len(names)
     XtX, Xty, yty = M[:k, :k], M[:k, k], M[k, k]
     keep = np.diag(XtX) > 1e-12          # drop all-zero columns (absent dummy levels)
@@ -190,41 +206,33 @@ def ols(df: DataFrame, y: str, xs: list[str], absorb: str | None = None,
     # second pass: residuals, leverage -> HC3 meat and Breusch-Pagan auxiliary sums
     bc = {names[i]: float(b) for i, b in zip(idx, beta)}
     resid = F.col(y) - sum((F.col(c) * F.lit(b) for c, b in bc.items()), F.lit(0.0))
-    lev = sum((F.col(names[a]) * F.col(names[b]) * F.lit(float(inv[ia, ib]))
-               for ia, a in enumerate(idx) for ib, b in enumerate(idx)),
-              1 / F.col("_g_n") if absorb else F.lit(0.0))
-    d2 = data.withColumn("_e", resid).withColumn("_h", lev) \
-             .withColumn("_w", F.col("_e") ** 2 / (1 - F.least(F.col("_h"), F.lit(0.999999))) ** 2)
-    aggs = [F.sum(F.col("_e") ** 2).alias("se2"), F.sum(F.col("_e") ** 4).alias("se4")]
-    for ia, a in enumerate(idx):
-        aggs.append(F.sum(F.col(names[a]) * F.col("_e") ** 2).alias(f"xe_{ia}"))
-        for ib, b in enumerate(idx):
-            if ib >= ia:
-                aggs.append(F.sum(F.col("_w") * F.col(names[a]) * F.col(names[b])).alias(f"w_{ia}_{ib}"))
+    m, used = len(idx), [names[i] for i in idx]
+
+    def second(x):
+        x, e, h = x[:, :m], x[:, m], x[:, m + 1]
+        e2 = e ** 2
+        lev = ((x @ inv) * x).sum(1) + h
+        w = e2 / (1 - np.minimum(lev, 0.999999)) ** 2
+        return np.concatenate([[e2.sum(), (e2 ** 2).sum()], x.T @ e2, (x.T @ (x * w[:, None])).ravel()])
+
+    d2 = data.withColumn("_e", resid).withColumn("_h", 1 / F.col("_g_n") if absorb else F.lit(0.0))
+    v = _batch_sums(d2, [*used, "_e", "_h"], 2 + m + m * m, second)
+    se2, se4, xe, meat = v[0], v[1], v[2:2 + m], v[2 + m:].reshape(m, m)
     if absorb:  # per-site sums first: the site dummies explain what lies between the sites
-        parts = d2.groupBy(absorb).agg(*aggs, F.count(F.lit(1)).alias("_size"))
-        names2 = [c for c in parts.columns if c not in (absorb, "_size")]
-        r2row = parts.agg(*[F.sum(c).alias(c) for c in names2], F.count(F.lit(1)).alias("groups"),
+        parts = d2.groupBy(absorb).agg(F.sum(F.col("_e") ** 2).alias("se2"), F.count(F.lit(1)).alias("_size"))
+        sites = parts.agg(F.count(F.lit(1)).alias("groups"),
                           F.sum(F.col("se2") ** 2 / F.col("_size")).alias("between")).first()
-    else:
-        r2row = d2.agg(*aggs).first()
-    n_groups = r2row["groups"] if absorb else 0
+    n_groups = sites["groups"] if absorb else 0
     dof = n - len(idx) - n_groups
     sigma2 = sse / dof if dof > 0 else float("nan")
     sst = n * (spread["v_0"] or 0.0) if intercept or absorb else yty
     r2 = 1 - sse / sst if sst else float("nan")
     p_eff = len(idx) - (1 if intercept else 0) + max(n_groups - 1, 0)
     adj = 1 - (1 - r2) * (n - 1) / (n - p_eff - 1) if n - p_eff - 1 > 0 else float("nan")
-    meat = np.zeros((len(idx), len(idx)))
-    for ia in range(len(idx)):
-        for ib in range(ia, len(idx)):
-            meat[ia, ib] = meat[ib, ia] = r2row[f"w_{ia}_{ib}"] or 0.0
     # Breusch-Pagan: regress e^2 on X and the site dummies, LM = n R^2_aux
-    xe = np.array([r2row[f"xe_{ia}"] or 0.0 for ia in range(len(idx))])
     g = inv @ xe
-    se2, se4 = r2row["se2"], r2row["se4"]
     ss_tot_aux = se4 - se2 ** 2 / n
-    ss_res_aux = se4 - (r2row["between"] if absorb else 0.0) - g @ xe
+    ss_res_aux = se4 - (sites["between"] if absorb else 0.0) - g @ xe
     bp_lm = n * (1 - ss_res_aux / ss_tot_aux) if ss_tot_aux > 0 else float("nan")
     bp_df = p_eff
     bp_p = chi2_sf(bp_lm, bp_df) if bp_df > 0 and math.isfinite(bp_lm) else float("nan")
