@@ -15,9 +15,10 @@ from civora.sources.standins import EVENT_AS_OF, standin
 
 # Statement coverage -------------------------------------------------------------
 def q_statement_coverage(spark, sf_dir, threshold: float = K.STATEMENT_COVERAGE_MIN):
-    from civora.plans.attribution import allocation_outcomes
-    st = q_impact_statements(spark, sf_dir).select("supporter_id").distinct()
-    allsup = allocation_outcomes(spark, sf_dir).select("supporter_id").distinct()
+    from civora.plans.attribution import outcome_statements, statement_outcomes
+    alloc = statement_outcomes(spark, sf_dir)
+    st = outcome_statements(alloc, standin(spark, sf_dir, "sites")).select("supporter_id").distinct()
+    allsup = alloc.select("supporter_id").distinct()
     cov = allsup.join(st.withColumn("_has", F.lit(1)), "supporter_id", "left").agg(
         F.count(F.lit(1)).alias("supporters"), F.count("_has").alias("with_statement"))
     r = F.col("with_statement") / F.col("supporters")
