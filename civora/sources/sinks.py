@@ -70,7 +70,8 @@ def read_latest(spark: SparkSession, table: str, root: str | None = None) -> Dat
 # IO5: replace-by-version (dynamic partition overwrite)
 def write_version(df: DataFrame, path: str, version: str) -> None:
     (df.withColumn("model_version", F.lit(version)).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy("model_version").parquet(path))
+       .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+       .partitionBy("model_version").parquet(path))
 
 
 # IO7: append predictions for rows not yet scored
