@@ -209,7 +209,8 @@ def q_kmeans_profiles(spark, sf_dir):
 def q_yeo_johnson_fit(spark, sf_dir):
     from civora.operators.joins import staged
     from civora.operators.prep import yeo_johnson_lambda
-    lam, table = yeo_johnson_lambda(standin(spark, sf_dir, "posts"), "estimated_donation_value")
+    posts = staged(standin(spark, sf_dir, "posts").select("estimated_donation_value"))
+    lam, table = yeo_johnson_lambda(posts, "estimated_donation_value")
     return table.withColumn("chosen", F.abs(F.col("lambda") - F.lit(lam)) < 1e-12)
 
 
